@@ -158,8 +158,8 @@ def _(s):
 
 @case("j3_lane_sla_join", ["waybill_waybill", "sla_internal"], """
 SELECT w.waybill_no, w.update_time, l.SLAinternal AS sla FROM waybill_waybill w
-JOIN sla_internal l ON (l.Origin_City, l.Destination_City, l.Destination)
-   = (w.sender_city_name, w.recipient_city_name, w.recipient_district_name)""")
+JOIN sla_internal l ON l.Origin_City = w.sender_city_name AND l.Destination_City = w.recipient_city_name
+     AND l.Destination = w.recipient_district_name""")
 def _(s):
     lane = {
         "sender_city_name": "Origin_City", "recipient_city_name": "Destination_City",
