@@ -12,11 +12,12 @@ from pyspark.sql import types as T
 from parcelspark.functions.timeops import AsOf
 from registry.standins import Standins, ctes
 
-AS_OF = AsOf(datetime(2001, 8, 1, 12))
-# Look-back that covers every row of the given tables, so no query is cheap by reading few of them.
-ALL_DAYS = 2500
-ALL_SINCE = "DATE '1994-09-27'"
-TODAY = "DATE '2001-08-01'"
+# Late enough in the evening that the local calendar is a day ahead of UTC.
+AS_OF = AsOf(datetime(2001, 8, 1, 20))
+TODAY, UTC_TODAY = "DATE '2001-08-02'", "DATE '2001-08-01'"
+# A look-back that covers every row of the given tables, so no query is cheap by reading few of them,
+# and a shorter one for reports that look back differently at two inputs.
+ALL_DAYS, SHORT_DAYS = 2500, 1500
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,9 +71,19 @@ def day(ts: str) -> str:
     return f"CAST({ts} AS DATE)"
 
 
-def back(ts: str) -> str:
-    """The full look-back as DuckDB reads it: by local date."""
-    return f"{local_day(ts)} >= {ALL_SINCE}"
+def back(ts: str, days: int = ALL_DAYS) -> str:
+    """A look-back as DuckDB reads it: local date against the UTC date of the report."""
+    return f"{local_day(ts)} >= {UTC_TODAY} - {days}"
+
+
+def at_first(value: str, time: str, where: str = "TRUE") -> str:
+    """Value at the oldest time, smallest non-NULL one at equal times."""
+    return f"first({value} ORDER BY {time} ASC, {value} ASC NULLS LAST) FILTER ({where})"
+
+
+def at_last(value: str, time: str, where: str = "TRUE") -> str:
+    """Value at the newest time, largest non-NULL one at equal times."""
+    return f"first({value} ORDER BY {time} DESC, {value} DESC NULLS LAST) FILTER ({where})"
 
 
 def label(code: str, kind: str) -> str:

@@ -9,7 +9,7 @@ from parcelspark.functions.classify import task_type
 from parcelspark.functions.timeops import local_date, month_label, sunday_week
 from parcelspark.operators import enrich, records, rollups
 from registry.base import (
-    AS_OF, case, in_list, label, local, local_day, newest,
+    AS_OF, TODAY, case, in_list, label, local, local_day, newest,
 )
 
 col = F.col
@@ -106,7 +106,7 @@ def _(s):
 
 @case("l8_current_tariff", ["standard_shipping_fee"], f"""
 SELECT search_code, min_sla, max_sla, created_at, end_expire_time FROM standard_shipping_fee
-WHERE {local_day('end_expire_time')} > DATE '2001-08-01' AND deleted = '0'
+WHERE {local_day('end_expire_time')} > {TODAY} AND deleted = '0'
 QUALIFY row_number() OVER (PARTITION BY search_code ORDER BY created_at DESC, min_sla NULLS FIRST,
     max_sla NULLS FIRST, end_expire_time) = 1""")
 def _(s):
@@ -169,17 +169,16 @@ def _(s):
     return joined.select("waybill_no", "update_time", "sla")
 
 
-_TARIFF_PICK = f"""tariff AS (
-  SELECT shipping_client_id AS c, sender_location_id AS s, recipient_location_id AS r, express_type AS e,
-         min({{'a': min_sla, 'b': max_sla}}) AS t
+TARIFF_CTE = f"""tariff AS (
+  SELECT shipping_client_id AS c, sender_location_id AS s, recipient_location_id AS r, express_type AS e, min_sla, max_sla
   FROM ({newest('standard_shipping_fee', 'search_code', 'created_at',
-                local_day('end_expire_time') + " > DATE '2001-08-01' AND deleted = '0'")})
-  GROUP BY ALL)"""
+                local_day('end_expire_time') + f" > {TODAY} AND deleted = '0'")})
+  QUALIFY row_number() OVER (PARTITION BY c, s, r, e ORDER BY min_sla NULLS FIRST, max_sla NULLS FIRST) = 1)"""
 
 
 @case("j4_contract_sla_join", ["waybill_waybill", "standard_shipping_fee"], f"""
-WITH {_TARIFF_PICK}
-SELECT w.waybill_no, w.update_time, x.t.a AS min_sla, x.t.b AS max_sla FROM waybill_waybill w
+WITH {TARIFF_CTE}
+SELECT w.waybill_no, w.update_time, x.min_sla, x.max_sla FROM waybill_waybill w
 LEFT JOIN tariff x ON x.c = w.vip_customer_id AND x.s = w.sender_city_id AND x.r = w.recipient_district_id
      AND x.e = w.express_type""")
 def _(s):
