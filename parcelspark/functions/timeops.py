@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta, timezone
+from functools import cache
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
@@ -43,9 +44,24 @@ class AsOf:
         return self.utc_date - timedelta(days=days)
 
 
+@cache
+def _constant_offset(tz: str) -> int | None:
+    """Seconds ahead of UTC when the zone kept one offset in every month from 1970 to 2037, else None."""
+    months = (datetime(year, month, 1, tzinfo=timezone.utc) for year in range(1970, 2038) for month in range(1, 13))
+    offsets = {int(month.astimezone(ZoneInfo(tz)).utcoffset().total_seconds()) for month in months}
+    return offsets.pop() if len(offsets) == 1 else None
+
+
 def local_time(ts: Column, tz: str = LOCAL_TZ) -> Column:
-    """Wall clock time in ``tz`` as TIMESTAMP_NTZ, whatever the input timestamp flavour."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), ts)
+    """Wall clock time in ``tz`` as TIMESTAMP_NTZ, whatever the input timestamp flavour.
+
+    A zone with one offset since 1970 is plain interval arithmetic, which costs a small part of the
+    zone look-up that ``convert_timezone`` does per row; zones that change their clocks use the latter.
+    """
+    offset = _constant_offset(tz)
+    if offset is None:
+        return F.convert_timezone(F.lit("UTC"), F.lit(tz), ts)
+    return (ts + F.expr(f"INTERVAL '{offset}' SECOND")).cast("timestamp_ntz")
 
 
 def local_date(ts: Column, tz: str = LOCAL_TZ) -> Column:

@@ -196,27 +196,42 @@ def scan_neighbours(
 
 
 def attempt_pivot(
-    df: DataFrame, key: str, time: str, cols: Mapping[str, str], n: int, time_name: str | None = None
+    df: DataFrame,
+    key: str,
+    time: str,
+    cols: Mapping[str, str],
+    n: int,
+    time_name: str | None = None,
+    firsts: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One row per key with the values of attempts 1..n: columns ``{name}_1`` .. ``{name}_n``.
 
     Attempts are numbered by RANK of their time: equal times share a number and leave a gap after it,
     so attempt 2 can be missing while attempt 3 is there; within a shared number the largest value shows.
-    Rows at one instant are merged before ranking, so at most n rows per key reach the ranking task.
+    ``time_name`` adds the times themselves; ``firsts`` adds values of the oldest time as ``first_values``
+    would, from the same pass. Rows at one instant are merged before ranking, so at most n rows per key
+    reach the ranking task.
     """
-    names = dict(cols) if time_name is None else {time_name: time, **cols}
-    payload = {out: F.max(col).alias(f"_v_{out}") for out, col in names.items() if col != time}
-    instants = df.groupBy(key, time).agg(F.count(F.lit(1)).alias("_n"), *payload.values())
+    firsts = firsts or {}
+    instants = df.groupBy(key, time).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.max(col).alias(f"_v_{out}") for out, col in cols.items()],
+        *[F.min(col).alias(f"_f_{out}") for out, col in firsts.items()],
+    )
     by_time = Window.partitionBy(key).orderBy(F.col(time).asc_nulls_first())
     early = instants.withColumn("_pos", F.row_number().over(by_time)).where(F.col("_pos") <= n)
     earlier = F.sum("_n").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
     ranked = early.withColumn("_rank", F.coalesce(earlier, F.lit(0)) + 1)
+    shown = {out: f"_v_{out}" for out in cols}
+    if time_name is not None:
+        shown = {time_name: time, **shown}
     return ranked.groupBy(key).agg(
         *[
-            F.max(F.when(F.col("_rank") == i, F.col(time if col == time else f"_v_{out}"))).alias(f"{out}_{i}")
-            for out, col in names.items()
+            F.max(F.when(F.col("_rank") == i, F.col(source))).alias(f"{out}_{i}")
+            for out, source in shown.items()
             for i in range(1, n + 1)
-        ]
+        ],
+        *[F.max(F.when(F.col("_rank") == 1, F.col(f"_f_{out}"))).alias(out) for out in firsts],
     )
 
 

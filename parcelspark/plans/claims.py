@@ -1,7 +1,7 @@
 """Claim files: Everpro and Mengantar.
 
-The scan log is read once per report: first delivery, first photo, first return scan and last location
-are conditional aggregates of one pass, not separate scans.
+Facts of one log are taken in as few passes as their windows allow: first delivery, first return scan and
+last location are conditional aggregates of one pass, and the first problem comes with the numbered ones.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from parcelspark.functions.classify import days_between_events, destination_bran
 from parcelspark.functions.timeops import AsOf, local_time, rolling_window, since
 from parcelspark.operators.enrich import decode_option, flag_exists, latest_status_join, lookup
 from parcelspark.operators.records import (
-    attempt_pivot, first_value, first_values, latest_record, latest_value, latest_values,
+    attempt_pivot, first_value, latest_record, latest_value, latest_values,
 )
 from parcelspark.sources.tables import Tables
 
@@ -55,33 +55,29 @@ def everpro_claims(tables: Tables, as_of: AsOf, *, days: int = 186, scan_days: i
 
     problems = rolling_window(tables["waybill_problem_piece"], "operation_time", days, as_of)
     problems = problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE)
-    first_problem = first_values(
-        problems, "waybill_no", "operation_time",
-        {"first_pos_attempt": "operation_time", "first_pos_reason": "problem_reason",
-         "first_pos_location": "operation_branch_name"},
-    )
     attempts = attempt_pivot(
-        problems, "waybill_no", "operation_time", {"pos_reason": "problem_reason"}, 3, time_name="pos_attempt"
+        problems, "waybill_no", "operation_time", {"pos_reason": "problem_reason"}, 3, time_name="pos_attempt",
+        firsts={"first_pos_reason": "problem_reason", "first_pos_location": "operation_branch_name"},
     )
 
     scans = rolling_window(tables["waybill_waybill_line"], "record_time", max(days, scan_days), as_of)
     in_long = since(scans, "record_time", as_of.days_back(days), as_of.tz)
     in_short = since(scans, "record_time", as_of.days_back(scan_days), as_of.tz)
-    delivery = in_short & (F.col("operation_type") == rules.SCAN_DELIVERY)
-    marks = scans.groupBy("waybill_no").agg(
-        first_value("record_time", "photo_url", in_long & _is_problem_scan()).alias("first_pos_photo_url"),
+    delivery = F.col("operation_type") == rules.SCAN_DELIVERY
+    marks = scans.where(in_short).groupBy("waybill_no").agg(
         F.min(F.when(delivery, F.col("record_time"))).alias("first_deliv_attempt"),
-        latest_value("record_time", "operation_branch_name", in_short).alias("last_location"),
-        latest_value("record_time", "operation_type", in_short).alias("_last_code"),
-        F.max(F.when(in_short, F.col("record_time"))).alias("last_scan_time"),
+        latest_value("record_time", "operation_branch_name").alias("last_location"),
+        latest_value("record_time", "operation_type").alias("_last_code"),
+        F.max("record_time").alias("last_scan_time"),
     )
     photos = attempt_pivot(
-        scans.where(in_long & _is_problem_scan()), "waybill_no", "record_time", {"pos_photo_url": "photo_url"}, 3
+        scans.where(in_long & _is_problem_scan()), "waybill_no", "record_time", {"pos_photo_url": "photo_url"}, 3,
+        firsts={"first_pos_photo_url": "photo_url"},
     )
-    rows = latest_status_join(parcels, newest_return, first_problem, attempts, marks, photos)
+    rows = latest_status_join(parcels, newest_return, attempts, marks, photos)
     rows = decode_option(rows, "_last_code", options, "operationType", "last_activity")
     # A first problem photo belongs to a parcel with a recorded problem.
-    first_photo = F.when(F.col("first_pos_attempt").isNotNull(), F.col("first_pos_photo_url"))
+    first_photo = F.when(F.col("pos_attempt_1").isNotNull(), F.col("first_pos_photo_url"))
     th_destination = destination_branch(
         (F.col("pod_branch_name").isNotNull(), F.col("pod_branch_name")),
         (F.col("pod_branch_name").isNull(), F.col("covered_branch")),
@@ -93,7 +89,7 @@ def everpro_claims(tables: Tables, as_of: AsOf, *, days: int = 186, scan_days: i
         _local("return_regist", as_of).alias("return_regist_time"),
         _local("return_confirm", as_of).alias("return_confirm_time"),
         _local("return_pod", as_of).alias("return_pod_record_time"),
-        _local("first_pos_attempt", as_of).alias("first_pos_attempt"),
+        _local("pos_attempt_1", as_of).alias("first_pos_attempt"),
         _local("pod_record_time", as_of).alias("pod_record_time"),
         first_photo.alias("first_pos_photo_url"),
         "pod_photo_url", "first_pos_reason", "first_pos_location", "waybill_source", "vip_username", "sub_account",

@@ -39,7 +39,7 @@ def case(name: str, needs: Sequence[str], body: str) -> Callable:
 
     def register(build: Callable[[Standins], DataFrame]) -> Callable:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return comparable(build(Standins(spark, sf_dir)))
+            return comparable(build(Standins.at(spark, sf_dir)))
 
         QUERIES[name] = run
         views = ctes(list(needs)) if needs else ""

@@ -8,6 +8,8 @@ start from the same rows. Second versions, NULLs, ties, VIP branches and codes w
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -324,11 +326,11 @@ SELECT waybill_no, 'ORD' || CAST(k AS STRING) AS order_no, s_city AS kota_asal,
 FROM parcel"""
 
 
-def _needs(name: str) -> list[str]:
-    import re
+_SOURCE = re.compile(r"\b(FROM|JOIN) (\w+)")
+
 
-    words = set(re.findall(r"\w+", VIEWS[name]))
-    return [other for other in VIEWS if other != name and other in words]
+def _needs(name: str) -> list[str]:
+    return list(dict.fromkeys(source for _, source in _SOURCE.findall(VIEWS[name]) if source in VIEWS or source in BASE))
 
 
 def closure(names: list[str]) -> list[str]:
@@ -337,7 +339,7 @@ def closure(names: list[str]) -> list[str]:
 
     def add(name: str) -> None:
         for other in _needs(name):
-            if other not in wanted:
+            if other in VIEWS and other not in wanted:
                 add(other)
         if name not in wanted:
             wanted.append(name)
@@ -352,17 +354,29 @@ def ctes(names: list[str]) -> str:
 
 
 class Standins(dict):
-    """Lazy mapping of carrier table name to DataFrame over one data folder."""
+    """Lazy mapping of carrier table name to DataFrame over one data folder. Holds plans, no data."""
+
+    _open: dict[tuple[str, str], Standins] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
         self.spark, self.sf_dir = spark, sf_dir
 
+    @classmethod
+    def at(cls, spark: SparkSession, sf_dir: str) -> Standins:
+        """The mapping of this application and folder, so file footers are read once per table."""
+        key = (spark.sparkContext.applicationId, sf_dir)
+        known = cls._open.get(key)
+        if known is None or known.spark is not spark:
+            known = cls._open[key] = cls(spark, sf_dir)
+        return known
+
     def __missing__(self, name: str) -> DataFrame:
         if name in BASE:
             frame = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         else:
-            files = ",\n".join(f"{t} AS (SELECT * FROM parquet.`{self.sf_dir}/{t}.parquet`)" for t in BASE)
-            frame = self.spark.sql(f"WITH {files},\n{ctes([name])}\nSELECT * FROM {name}")
+            sources = {source: self[source] for source in _needs(name)}
+            text = _SOURCE.sub(lambda m: f"{m[1]} {{{m[2]}}}" if m[2] in sources else m[0], VIEWS[name])
+            frame = self.spark.sql(text, **sources)
         self[name] = frame
         return frame
