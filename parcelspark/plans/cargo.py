@@ -141,20 +141,20 @@ def smu_bag_level(hub_sheet: DataFrame, system: DataFrame) -> DataFrame:
     return manifest_match(sheet, totals)
 
 
-_RENAMED = {
-    "sender_province_name": "origin_province", "sender_city_name": "origin_city",
-    "sender_district_name": "origin_district", "recipient_province_name": "destination_province",
-    "recipient_city_name": "destination_city", "recipient_district_name": "destination_district",
+_ORIGIN = {"sender_province_name": "origin_province", "sender_city_name": "origin_city", "sender_district_name": "origin_district"}
+_DESTINATION = {
+    "recipient_province_name": "destination_province", "recipient_city_name": "destination_city",
+    "recipient_district_name": "destination_district",
 }
 _WAYBILL_LEVEL = (
     "bag_no", "vehicle_tag_no", "bm_vm_concat", "waybill_no", "shipping_time", "express_type", "record_time",
     "standard_shipping_fee", "handling_fee", "other_fee", "insurance_amount", "total_shipping_fee", "system_sf",
-    "system_weight", *_RENAMED, "pod_branch_name", "return_flag", "return_pod_branch_name",
-    "pod_or_return_pod_branch", "pickup_branch_name",
+    "system_weight", *_ORIGIN, "pickup_branch_name", *_DESTINATION, "pod_branch_name", "return_flag",
+    "return_pod_branch_name", "pod_or_return_pod_branch",
 )
 
 
 def smu_waybill_level(tables: Tables, system: DataFrame) -> DataFrame:
     """Consignment sheet with every waybill of its bag, from the stage table of system bags."""
-    waybills = system.select(*_WAYBILL_LEVEL).withColumnsRenamed(_RENAMED)
+    waybills = system.select(*_WAYBILL_LEVEL).withColumnsRenamed({**_ORIGIN, **_DESTINATION})
     return manifest_match(_sheet(tables), waybills)
