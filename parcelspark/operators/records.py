@@ -97,6 +97,10 @@ NEIGHBOUR_COLUMNS = (
 )
 
 
+# Leading characters of "2024-01-31 12:34:56" that name a time slice; they sort as the times do.
+SLICE_LENGTHS = {"day": 10, "hour": 13, "minute": 16, "second": 19}
+
+
 def _neighbours(df: DataFrame, window, stop: str, time: str, kind: str) -> DataFrame:
     return df.withColumns(
         {
@@ -125,6 +129,7 @@ def scan_neighbours(
     Ordinary keys go through one window per key. A key with more than ``hot_rows`` rows would be one
     task, so its rows are windowed per (key, time slice) instead; only the first and last scans of each
     slice are then passed between neighbouring slices of the key. Both ways give the same rows.
+    ``slice_unit`` should leave no slice of a hot key near ``hot_rows`` rows.
     """
     tie = _list(tie) if tie is not None else [c for c in scans.columns if c not in (key, time)]
     order = [time, *tie]
@@ -147,7 +152,7 @@ def scan_neighbours(
         {
             "_key_text": F.coalesce(F.col(key).cast("string"), F.lit("")),
             "_key_null": F.col(key).isNull(),
-            "_slice": F.coalesce(F.date_trunc(slice_unit, F.col(time)).cast("string"), F.lit("")),
+            "_slice": F.coalesce(F.substring(F.col(time).cast("string"), 1, SLICE_LENGTHS[slice_unit]), F.lit("")),
         }
     )
     in_slice = Window.partitionBy(*slice_cols).orderBy(*ascending)

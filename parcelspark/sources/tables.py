@@ -41,4 +41,6 @@ def recommended_conf() -> dict[str, str]:
         # Split a skewed side even where that costs the next operator its partitioning.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        # Lane, tariff and user masters of tens of MB still beat a shuffle of all parcels; larger ones are joined by shuffle.
+        "spark.sql.autoBroadcastJoinThreshold": "64MB",
     }

@@ -113,7 +113,7 @@ def test_status_joins_on_one_key_shuffle_the_spine_once(spark, skewed):
         ]
         plan = plan_of(enrich.latest_status_join(spine, *sides))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64MB")
     initial = plan.split("== Initial Plan ==")[-1]
     assert len(re.findall(r"Exchange hashpartitioning", initial)) == 4
 
