@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from parcelspark.functions import rules
 from parcelspark.functions.classify import courier_status, regional_office
 from parcelspark.functions.timeops import AsOf, rolling_window
-from parcelspark.operators.records import one_record
+from parcelspark.operators.records import HOT_ROWS, hot_keys, one_record, split_hot_keys
 
 
 def lookup(
@@ -65,9 +65,13 @@ def lookback_left_join(
 
 
 def lane_sla_join(
-    df: DataFrame, lanes: DataFrame, on: Mapping[str, str], sla: str, out: str, unique: bool = True
+    df: DataFrame, lanes: DataFrame, on: Mapping[str, str], sla: str, out: str, unique: bool = False
 ) -> DataFrame:
-    """Promised days of a lane; parcels on a lane without a promise drop out."""
+    """Promised days of a lane; parcels on a lane without a promise drop out.
+
+    A plain join by default: with the lanes straight from their exchange AQE can split a lane that owns a
+    large share of the parcels. Reports join first and pick one row per parcel afterwards.
+    """
     return lookup(df, lanes, on, {out: sla}, unique=unique, how="inner")
 
 
@@ -84,9 +88,12 @@ def contract_sla_join(
     tariffs: DataFrame,
     take: Mapping[str, str] | None = None,
     on: Mapping[str, str] = CONTRACT_KEYS,
-    unique: bool = True,
+    unique: bool = False,
 ) -> DataFrame:
-    """Contract promise by client, origin city, destination district and express type."""
+    """Contract promise by client, origin city, destination district and express type.
+
+    A plain join by default, for the same reason as ``lane_sla_join``.
+    """
     return lookup(df, tariffs, on, take or {"min_sla": "min_sla", "max_sla": "max_sla"}, unique=unique)
 
 
@@ -97,14 +104,23 @@ def scans_before_return(
     scan_time: str = "record_time",
     confirm_time: str = "return_confirm_record_time",
     inclusive: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Adds the return confirmation a scan came before, NULL for later scans and parcels not returned.
 
-    Returns are reduced to the newest confirmation per parcel first, so scans are not multiplied.
+    Returns are reduced to the newest confirmation per parcel first, so scans are not multiplied. AQE
+    cannot split a skewed join whose other side is such a reduction, so scans of parcels with more than
+    ``hot_rows`` scans stay where they are and meet a broadcast of those few parcels' confirmations.
     """
     confirmed = returns.groupBy(F.col(key).alias("_return_key")).agg(F.max(confirm_time).alias(confirm_time))
     before = F.col(scan_time) <= F.col(confirm_time) if inclusive else F.col(scan_time) < F.col(confirm_time)
-    return scans.join(confirmed, (F.col(key) == F.col("_return_key")) & before, "left").drop("_return_key")
+    match = (F.col(key) == F.col("_return_key")) & before
+    ordinary, hot = split_hot_keys(scans, key, hot_rows)
+    few = confirmed.join(
+        F.broadcast(hot_keys(scans, key, hot_rows)), F.col("_return_key") == F.col("_hot_key"), "left_semi"
+    )
+    joined = ordinary.join(confirmed, match, "left").unionByName(hot.join(F.broadcast(few), match, "left"))
+    return joined.drop("_return_key")
 
 
 def exclude_matched(df: DataFrame, other: DataFrame, key: str = "waybill_no") -> DataFrame:

@@ -97,6 +97,25 @@ NEIGHBOUR_COLUMNS = (
 )
 
 
+HOT_ROWS = 2_000_000
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, as column ``_hot_key``.
+
+    At most (rows / hot_rows) keys can be this large, so the list may be broadcast at any table size.
+    """
+    counted = df.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.where(F.col("_n") > hot_rows).select("_hot_key")
+
+
+def split_hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys, and rows of hot keys. AQE drops the second side when no key is hot."""
+    hot = hot_keys(df, key, hot_rows)
+    is_hot = F.col(key).eqNullSafe(F.col("_hot_key"))
+    return df.join(F.broadcast(hot), is_hot, "left_anti"), df.join(F.broadcast(hot), is_hot, "left_semi")
+
+
 # Leading characters of "2024-01-31 12:34:56" that name a time slice; they sort as the times do.
 SLICE_LENGTHS = {"day": 10, "hour": 13, "minute": 16, "second": 19}
 
@@ -121,7 +140,7 @@ def scan_neighbours(
     stop: str,
     kind: str,
     tie: Sequence[str] | None = None,
-    hot_rows: int = 2_000_000,
+    hot_rows: int = HOT_ROWS,
     slice_unit: str = "minute",
 ) -> DataFrame:
     """Adds the previous stop and time, the stop before it, and the next stop, time and scan type.
@@ -135,20 +154,12 @@ def scan_neighbours(
     order = [time, *tie]
     ascending = [F.col(name).asc_nulls_first() for name in order]
 
-    # At most (rows / hot_rows) keys can be this large, so the list may be broadcast at any table size.
-    hot = (
-        scans.groupBy(F.col(key).alias("_hot_key"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select("_hot_key")
-    )
-    is_hot = F.col(key).eqNullSafe(F.col("_hot_key"))
-    ordinary = scans.join(F.broadcast(hot), is_hot, "left_anti")
+    ordinary, hot = split_hot_keys(scans, key, hot_rows)
     ordinary = _neighbours(ordinary, Window.partitionBy(key).orderBy(*ascending), stop, time, kind)
 
     # NULL keys and times get stand-in values here, so window and join share one hash partitioning.
     slice_cols = ["_key_text", "_key_null", "_slice"]
-    sliced = scans.join(F.broadcast(hot), is_hot, "left_semi").withColumns(
+    sliced = hot.withColumns(
         {
             "_key_text": F.coalesce(F.col(key).cast("string"), F.lit("")),
             "_key_null": F.col(key).isNull(),

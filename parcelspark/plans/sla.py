@@ -35,6 +35,8 @@ def blibli_delivery(
         "recipient_district_name": "Destination",
     }
     waybills = lane_sla_join(waybills, tables["sla_internal"], lane, "SLAinternal", "old_sla")
+    waybills = contract_sla_join(waybills, current_tariff(tables["standard_shipping_fee"], as_of))
+    # The one shuffle by parcel; every later join is on the parcel or to a small master.
     parcels = latest_record(waybills, "waybill_no", "update_time")
 
     problems = tables["waybill_problem_piece"].where(F.col("deleted") == "0")
@@ -51,8 +53,6 @@ def blibli_delivery(
     parcels = lookup(
         parcels, tables["mapping_kanwil_area"], {"recipient_province_name": "province_name"}, {"office": "kanwil_name"}
     )
-    tariffs = current_tariff(tables["standard_shipping_fee"], as_of)
-    parcels = contract_sla_join(parcels, tariffs)
 
     shipped, pod = F.col("shipping_time"), F.col("pod_record_time")
     city, district, province = (F.col(f"recipient_{p}_name") for p in ("city", "district", "province"))
@@ -206,8 +206,8 @@ def zalora_performance(tables: Tables, as_of: AsOf, *, days: int = 65) -> DataFr
     )
     lane = {"dest_city": "destination_city", "lane_from": "origin_city"}
     waybills = lane_sla_join(waybills, tables["masterdata_sla_shopee"], lane, "sla", "old_sla")
+    waybills = contract_sla_join(waybills, current_tariff(tables["standard_shipping_fee"], as_of))
     parcels = latest_record(waybills, "waybill_no", "update_time").withColumn("old_sla", F.col("old_sla").cast("bigint"))
-    parcels = contract_sla_join(parcels, current_tariff(tables["standard_shipping_fee"], as_of))
 
     pickups = rolling_window(tables["dashboard_bd_kpi_monthly"], "input_time", days, as_of, tz=None)
     pickups = pickups.where(F.col("Order_Source").isin(*rules.ZALORA_SOURCES)).select(

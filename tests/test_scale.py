@@ -125,3 +125,44 @@ def test_no_report_uses_a_cross_join_or_a_python_worker(spark):
         plan = plan_of(build(spark, "/root/testdata/sf0.001"))
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval", "MapInPandas"):
             assert word not in plan, (name, word)
+
+
+def test_return_lookup_leaves_a_hot_parcel_where_it_is(spark, skewed):
+    returns = skewed.select("waybill_no", F.col("record_time").alias("return_confirm_record_time")).where("kind = '1'")
+    plain = enrich.scans_before_return(skewed, returns)
+    split = enrich.scans_before_return(skewed, returns, hot_rows=50_000)
+    digest = F.sum(F.xxhash64(*sorted(plain.columns)).cast("decimal(38,0)"))
+    assert split.agg(F.count(F.lit(1)), digest).first() == plain.agg(F.count(F.lit(1)), digest).first()
+    placed = split.where("waybill_no = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in placed) < 40_000
+
+
+def test_adaptive_execution_can_split_a_hot_lane(spark, skewed):
+    """With masters too large to broadcast, the promise join still spreads one client's parcels."""
+    i = F.col("id")
+    versions = spark.range(0, 40_000, 1, 4).select(
+        (i % 20_000).alias("search_code"), F.concat(F.lit("w"), (i % 20_000).cast("string")).alias("shipping_client_id"),
+        (i % 20_000 % 3).alias("sender_location_id"), F.lit(1).alias("recipient_location_id"), F.lit("E").alias("express_type"),
+        F.lit(1).alias("min_sla"), i.alias("max_sla"),
+    )
+    tariffs = records.latest_record(versions, "search_code", "max_sla")
+    parcels = skewed.select(
+        F.col("waybill_no").alias("vip_customer_id"), (F.length("stop") % 3).alias("sender_city_id"), F.lit(1).alias("recipient_district_id"),
+        F.lit("E").alias("express_type"), "record_time", "stop",
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = enrich.contract_sla_join(parcels, tariffs)
+        joined.toArrow()
+        assert "SortMergeJoin(skew=true)" in plan_of(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
