@@ -67,23 +67,27 @@ class Permutation:
         return F.aggregate(salts, start, back_step if back else forth_step, lambda at: at["left"] * low + at["right"])
 
     def _longest_walk(self, spark: SparkSession) -> int:
-        cells, steps = self.high * self.low, 16
-        while cells > self.n:
-            walked = F.aggregate(
-                F.sequence(F.lit(1), F.lit(steps)),
-                F.struct(F.col("id").alias("at"), F.lit(0).alias("steps")),
-                lambda s, _: F.when(s["at"] < self.n, s).otherwise(
-                    F.struct(self._once(s["at"]).alias("at"), (s["steps"] + 1).alias("steps"))
-                ),
-            )
-            longest = spark.range(self.n, cells).select(walked.alias("s")).agg(
-                F.max(F.when(F.col("s.at") < self.n, F.col("s.steps")).otherwise(F.lit(-1))),
-                F.min(F.when(F.col("s.at") < self.n, F.lit(1)).otherwise(F.lit(0))),
-            ).first()
-            if longest[1] == 1 or steps >= cells - self.n:
-                return steps if longest[1] == 0 else longest[0]
-            steps *= 4
-        return 0
+        """Steps after which every value that started below ``n`` is below it again.
+
+        All surplus cells take 16 steps. Should k of them still be outside, a walk into them has at most k further
+        steps: each of its first cells is one of these k. (Cells that circle among themselves are never reached.)
+        """
+        if self.high * self.low <= self.n:
+            return 0
+        walked = F.aggregate(
+            F.sequence(F.lit(1), F.lit(16)),
+            F.struct(F.col("id").alias("at"), F.lit(1).alias("steps")),
+            lambda s, _: F.when(s["at"] < self.n, s).otherwise(
+                F.struct(self._once(s["at"]).alias("at"), (s["steps"] + 1).alias("steps"))
+            ),
+        )
+        longest, outside = (
+            spark.range(self.n, self.high * self.low)
+            .select(walked.alias("s"))
+            .agg(F.max("s.steps"), F.count(F.when(F.col("s.at") >= self.n, 1)))
+            .first()
+        )
+        return longest + outside
 
     def _walked(self, value: Column, back: bool) -> Column:
         first = self._once(value, back)
