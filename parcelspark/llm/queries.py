@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, sharding
+from parcelspark.llm import bpe, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,15 @@ def op9_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encoded(documents, ranks, public_tokenizers.PATTERN, ids=False)
+
+
+@query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenized, cut only where longer than 2048 ids, in sequences of at most 2048 ids."""
+    return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def pack_documents(documents: DataFrame) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.tokenized(documents.select("doc_id", "text"), tokenizer, 2048, ids=False)
+    return packing.packed(pieces, 2048)
