@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, chat, packing, sharding
+from parcelspark.llm import bpe, chat, packing, sharding, warc
+from parcelspark.llm.common import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +71,17 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     return chat.read_back(chat.segments(rows.union(hostile)))
+
+
+@query
+def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, read back, and their capture index merged.
+
+    The table has no capture time, so the page id counts seconds.
+    """
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    path = new_path(spark, "warc")
+    warc.write_archives(pages, path, F.timestamp_seconds(F.pmod("page_id", F.lit(10**9))))
+    return warc.merged_index(warc.read_archives(spark, path)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "range", "position"
+    )
