@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, chat, packing, sharding, warc
+from parcelspark.llm import bpe, chat, packing, secrets, sharding, warc
 from parcelspark.llm.common import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,19 @@ def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.merged_index(warc.read_archives(spark, path)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "range", "position"
     )
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text, with the spans that entropy adds."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    spans = F.col("spans")
+    count = lambda rank: F.size(F.filter(spans, lambda m: m["rank"] == rank)).cast("long")
+    return secrets.scanned(documents).select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.listed(F.filter(spans, lambda m: m["rank"] < 3)), 256).alias("base_sha256"),
+        secrets.listed(spans).alias("spans"),
+    )
