@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, chat, packing, secrets, sharding, warc
+from parcelspark.llm import bpe, chat, packing, quality, secrets, sharding, warc
 from parcelspark.llm.common import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,12 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.listed(F.filter(spans, lambda m: m["rank"] < 3)), 256).alias("base_sha256"),
         secrets.listed(spans).alias("spans"),
     )
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    named = [F.col(f"counts.{c}").alias(c) for c in quality.COUNTS if c != "n_lines"]
+    counted = quality.measured(documents).drop("text")
+    return quality.judged(counted).select("doc_id", *named, "base_failed", "kept")
