@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, chat, packing, quality, secrets, sharding, warc
+from parcelspark.llm import bpe, chat, packing, quality, secrets, sharding, substrings, warc
 from parcelspark.llm.common import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,9 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = [F.col(f"counts.{c}").alias(c) for c in quality.COUNTS if c != "n_lines"]
     counted = quality.measured(documents).drop("text")
     return quality.judged(counted).select("doc_id", *named, "base_failed", "kept")
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words that windows of 50 words share with documents of smaller ids."""
+    return substrings.digests(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
