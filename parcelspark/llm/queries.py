@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, chat, packing, quality, secrets, sharding, substrings, warc
+from parcelspark.llm import bpe, chat, neardup, packing, quality, secrets, sharding, substrings, warc
 from parcelspark.llm.common import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words that windows of 50 words share with documents of smaller ids."""
     return substrings.digests(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+@query
+def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document, over shingles of five words at 0.8."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return neardup.classes(documents).select("doc_id", "class_id", "kept")
