@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, chat, neardup, packing, quality, secrets, sharding, substrings, warc
+from parcelspark.llm import bpe, chat, embeddings, neardup, packing, quality, secrets, sharding, substrings, warc
 from parcelspark.llm.common import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,9 @@ def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document, over shingles of five words at 0.8."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return neardup.classes(documents).select("doc_id", "class_id", "kept")
+
+
+@query
+def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.93 within their label."""
+    return embeddings.linked(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label"))
