@@ -87,16 +87,12 @@ def _paths(occurrences: DataFrame) -> DataFrame:
         "nodes",
     )
     forth = nodes.where("one AND same AND gap > 0").select(
-        F.col("node").alias("head"), F.col("next").alias("node"), F.col("gap").alias("off"), F.col("n").alias("m")
+        F.col("node").alias("head"), F.col("next").alias("node"), F.col("gap").alias("off"), "n"
     )
     open_ends = stored(
         nodes.select("node", "n")
-        .join(forth, "node", "left")
-        .select(
-            "node",
-            F.when(F.col("m") == F.col("n"), F.col("head")).otherwise(F.col("node")).alias("head"),
-            F.when(F.col("m") == F.col("n"), F.col("off")).otherwise(F.lit(0)).cast("long").alias("off"),
-        ),
+        .join(forth, ["node", "n"], "left")
+        .select("node", F.coalesce("head", "node").alias("head"), F.coalesce("off", F.lit(0)).cast("long").alias("off")),
         "paths",
     )
     dropped(nodes)
