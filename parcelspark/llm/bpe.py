@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelspark.llm.common import cols, others
+from parcelspark.llm.common import cols, free, others
 
 # Entries that a worker keeps of pieces it has encoded; a full cache is emptied, which costs time only.
 CACHE_ENTRIES = 400_000
@@ -238,7 +238,7 @@ def encoded(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", id
     no ids. ``ranks_path`` must exist on every executor. Input columns with an added column's name are replaced.
     """
     kept = others(df, text, "ids", "n_tokens", "ids_sha256", "decoded_sha256")
-    source = df.select(*cols(kept), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    source = df.select(*cols(kept), F.coalesce(F.col(text), F.lit("")).alias(free(df, "_text")))
     schema = df.select(
         *cols(kept),
         F.lit(None).cast("array<int>").alias("ids"),
@@ -273,7 +273,7 @@ def encoded(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", id
 def decoded(df: DataFrame, ranks_path: str, ids: str = "ids", into: str = "text") -> DataFrame:
     """``df`` with ``into``: the text that ``ids`` stand for. Null ids give null; bytes that are no UTF-8 are replaced."""
     kept = others(df, ids, into)
-    source = df.select(*cols(kept), F.col(ids).alias("_ids"))
+    source = df.select(*cols(kept), F.col(ids).alias(free(df, "_ids")))
     schema = df.select(*cols(kept), F.lit(None).cast("string").alias(into)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

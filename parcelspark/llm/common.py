@@ -17,6 +17,14 @@ def others(df: DataFrame, *added: str) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def free(df: DataFrame, name: str) -> str:
+    """A name for a passing column that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.llm import words
-from parcelspark.llm.common import cols, components, dropped, quoted, stored
+from parcelspark.llm.common import cols, components, dropped, free, quoted, stored
 
 _TABLE_BITS = 16
 _BLOCK_SHINGLES = 2_000_000
@@ -309,21 +309,22 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
 
 def deduplicated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """The rows of ``df`` that ``classes`` keeps, one of rows that repeat an id and a text. Columns stay as they are."""
+    own_doc, own_tid, kept_doc, kept_tid = (free(df, c) for c in ("_own_doc", "_own_tid", "_kept_doc", "_kept_tid"))
     kept = (
         classes(df, doc_id, text, settings)
         .where("kept")
-        .select(F.col("doc_id").alias("_kept_doc"), F.coalesce("tid", F.lit(b"")).alias("_kept_tid"))
+        .select(F.col("doc_id").alias(kept_doc), F.coalesce("tid", F.lit(b"")).alias(kept_tid))
         .distinct()
     )
     names = df.columns
     own = df.withColumns(
         {
-            "_own_doc": F.col(quoted(doc_id)).cast("long"),
-            "_own_tid": F.coalesce(F.unhex(F.md5(F.col(quoted(text)).cast("binary"))), F.lit(b"")),
+            own_doc: F.col(quoted(doc_id)).cast("long"),
+            own_tid: F.coalesce(F.unhex(F.md5(F.col(quoted(text)).cast("binary"))), F.lit(b"")),
         }
     )
     return (
-        own.join(kept, F.col("_own_doc").eqNullSafe(F.col("_kept_doc")) & (F.col("_own_tid") == F.col("_kept_tid")), "left_semi")
-        .dropDuplicates(["_own_doc", "_own_tid"])
+        own.join(kept, F.col(own_doc).eqNullSafe(F.col(kept_doc)) & (F.col(own_tid) == F.col(kept_tid)), "left_semi")
+        .dropDuplicates([own_doc, own_tid])
         .select(*cols(names))
     )

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelspark.llm.common import cols, dropped, others, stored
+from parcelspark.llm.common import cols, dropped, free, others, stored
 
 # Chunks of text that a worker keeps with their ids; a full cache is emptied, which costs time only.
 CACHE_ENTRIES = 1_000_000
@@ -106,7 +106,7 @@ def tokenized(
     """
     added = ["piece", "start", "length", "ids_crc32", "ids"]
     kept = others(df, text, *added)
-    source = df.select(*cols(kept), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    source = df.select(*cols(kept), F.coalesce(F.col(text), F.lit("")).alias(free(df, "_text")))
     schema = df.select(
         *cols(kept),
         F.lit(0).alias("piece"),
@@ -259,9 +259,10 @@ def packed(
         count = left
     if moved is None:
         return local_bins
-    moves = moved.select(F.col("bin").alias("_bin"), F.col("parent").alias("_parent"), F.col("shift").alias("_shift"))
-    return local_bins.join(moves, F.col("sequence_id") == F.col("_bin"), "left").select(
+    start, target, shift = (free(local_bins, c) for c in ("_bin", "_parent", "_shift"))
+    moves = moved.select(F.col("bin").alias(start), F.col("parent").alias(target), F.col("shift").alias(shift))
+    return local_bins.join(moves, F.col("sequence_id") == F.col(start), "left").select(
         *cols(kept),
-        F.coalesce("_parent", "sequence_id").alias("sequence_id"),
-        (F.col("offset") + F.coalesce("_shift", F.lit(0))).alias("offset"),
+        F.coalesce(target, "sequence_id").alias("sequence_id"),
+        (F.col("offset") + F.coalesce(shift, F.lit(0))).alias("offset"),
     )

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelspark.llm.common import cols, others, stored
+from parcelspark.llm.common import cols, free, others, stored
 from parcelspark.llm.secrets import let
 
 BLANKS = "\t\n\x0b\f\r"
@@ -194,19 +194,20 @@ def judged(counted: DataFrame, lang: str = "lang", source: str = "source") -> Da
     hot group's rows are split by AQE. No threshold depends on row order or partitioning. An empty table stays
     empty; input columns named like an added column are replaced.
     """
-    kept = others(counted, "counts", "base_failed", "kept", "_lang", "_source", "_bounds")
+    kept = others(counted, "counts", "base_failed", "kept")
     rows = stored(counted.select(*cols(kept), "counts"), "counted")
     good = rows.where(~base_failed()).select(F.col(lang).alias("lang"), F.col(source).alias("source"), "counts")
+    its_lang, its_source, its_bounds = (free(rows, c) for c in ("_lang", "_source", "_bounds"))
     bounds = thresholds(sketches(good, "lang", "source")).select(
-        F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.col("bounds").alias("_bounds")
+        F.col("lang").alias(its_lang), F.col("source").alias(its_source), F.col("bounds").alias(its_bounds)
     )
     joined = rows.join(
-        bounds, F.col(lang).eqNullSafe(F.col("_lang")) & F.col(source).eqNullSafe(F.col("_source")), "left"
+        bounds, F.col(lang).eqNullSafe(F.col(its_lang)) & F.col(source).eqNullSafe(F.col(its_source)), "left"
     )
     within = let(
         _measures(),
         lambda m: F.forall(
-            F.col("_bounds"), lambda b: (F.get(m, b["rule"]) >= b["low"]) & (F.get(m, b["rule"]) <= b["high"])
+            F.col(its_bounds), lambda b: (F.get(m, b["rule"]) >= b["low"]) & (F.get(m, b["rule"]) <= b["high"])
         ),
     )
     failed = base_failed()

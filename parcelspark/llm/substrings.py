@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.llm import words
-from parcelspark.llm.common import cols, dropped, stored
+from parcelspark.llm.common import cols, dropped, free, stored
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -250,18 +250,19 @@ def deduplicated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wind
     texts and ids too; a text may end up empty. Repeated rows with one id lose the same words.
     """
     spans, rows = repeated_spans(df, doc_id, text, window)
+    doc, crc, new = (free(df, c) for c in ("_doc", "_crc", "_new"))
     changed = changed_texts(spans, rows).select(
-        F.col("doc").alias("_doc"), F.col("crc").alias("_crc"), F.struct("new_text").alias("_new")
-    ).dropDuplicates(["_doc", "_crc"])
+        F.col("doc").alias(doc), F.col("crc").alias(crc), F.struct("new_text").alias(new)
+    ).dropDuplicates([doc, crc])
     names = df.columns
     joined = df.join(
         changed,
-        (F.col(doc_id).cast("long") == F.col("_doc")) & (F.crc32(F.col(text).cast("binary")) == F.col("_crc")),
+        (F.col(doc_id).cast("long") == F.col(doc)) & (F.crc32(F.col(text).cast("binary")) == F.col(crc)),
         "left",
     )
     return joined.select(
         *(
-            F.when(F.col("_new").isNotNull(), F.col("_new.new_text")).otherwise(F.col(text)).alias(c) if c == text else cols([c])[0]
+            F.when(F.col(new).isNotNull(), F.col(f"{new}.new_text")).otherwise(F.col(text)).alias(c) if c == text else cols([c])[0]
             for c in names
         )
     )
