@@ -39,11 +39,27 @@ def lookup(
     return df.join(side, condition, how).drop(*keys.values())
 
 
-def decode_option(df: DataFrame, code: str, options: DataFrame, type_option: str, out: str) -> DataFrame:
-    """Adds the label of a code from the shared option table; unknown codes give NULL."""
+def of_spine(df: DataFrame, spine: DataFrame, key: str = "waybill_no") -> DataFrame:
+    """Rows of a log whose key occurs in ``spine``.
+
+    Cuts a log to a report's parcels before it is windowed or aggregated. Every later step groups by the same
+    key, so nothing changes but the rows that travel; Spark broadcasts a small key set by its own size check.
+    """
+    return df.join(spine.select(key), key, "left_semi")
+
+
+def decode_option(
+    df: DataFrame, code: str, options: DataFrame, type_option: str, out: str, unique: bool = True
+) -> DataFrame:
+    """Adds the label of a code from the shared option table; unknown codes give NULL.
+
+    A code that is listed twice gives its largest label; with ``unique=False`` it multiplies rows instead.
+    """
     labels = options.where(F.col("type_option") == type_option).select(
         F.col("option_value").alias("_code"), F.col("option_name").alias(out)
     )
+    if unique:
+        labels = labels.groupBy("_code").agg(F.max(out).alias(out))
     return df.join(labels, F.col(code) == F.col("_code"), "left").drop("_code")
 
 
@@ -192,8 +208,7 @@ def branch_region(
 ) -> DataFrame:
     """Branch number, level label, province of the branch's city and regional office short name."""
     df = lookup(
-        df, branches, {branch_id: "id"},
-        {"branch_no": "branch_no", "_level": "branch_level", "_city": "city_id"}, unique=False,
+        df, branches, {branch_id: "id"}, {"branch_no": "branch_no", "_level": "branch_level", "_city": "city_id"}
     )
     df = decode_option(df, "_level", options, "branchLevel", "branch_level")
     province = areas.groupBy("city_id").agg(F.min("province_name").alias("province_name"))

@@ -29,6 +29,12 @@ def _tie_break(df: DataFrame, used: Sequence[str], tie: Sequence[str] | None) ->
     return [F.col(name).asc_nulls_first() for name in tie]
 
 
+def _filled_first(df: DataFrame, used: Sequence[str], tie: Sequence[str] | None) -> list[Column]:
+    if tie is None:
+        tie = [f.name for f in df.schema if f.name not in used and not isinstance(f.dataType, T.MapType)]
+    return [F.col(name).asc_nulls_last() for name in tie]
+
+
 def _first_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)]))
     return df.withColumn("_pick", F.row_number().over(window)).where(F.col("_pick") == 1).drop("_pick")
@@ -53,9 +59,9 @@ def earliest_record(
 
 
 def one_record(df: DataFrame, keys: str | Sequence[str], tie: Sequence[str] | None = None) -> DataFrame:
-    """One row per key where any row will do; the smallest by the remaining columns is taken."""
+    """One row per key where any row will do; the smallest by the remaining columns is taken, missing values last."""
     keys = _list(keys)
-    return _first_row(df, keys, _tie_break(df, keys, tie))
+    return _first_row(df, keys, _filled_first(df, keys, tie))
 
 
 # --- values at the newest / oldest time ----------------------------------------------------------
@@ -273,8 +279,13 @@ def transport_label(
 ) -> DataFrame:
     """One scan per waybill with its vehicle - bag - waybill label, then one row per label.
 
-    Waybills without a complete label share the NULL label, of which one row is kept.
+    A scan with a complete label is preferred. Such labels hold the waybill and are unique already, so only waybills
+    without one are reduced again: they share the NULL label, of which one row is kept.
     """
-    per_waybill = one_record(scans, waybill, tie)
-    labelled = per_waybill.withColumn(label, joined_key(F.col(vehicle), F.col(bag), F.col(waybill)))
-    return one_record(labelled, label, None if tie is None else [waybill, *tie])
+    labelled = scans.withColumn(label, joined_key(F.col(vehicle), F.col(bag), F.col(waybill)))
+    order = [F.col(label).isNull(), *_filled_first(scans, [waybill], tie)]
+    per_waybill = _first_row(labelled, [waybill], order)
+    missing = per_waybill.where(F.col(label).isNull())
+    return per_waybill.where(F.col(label).isNotNull()).unionByName(
+        one_record(missing, label, None if tie is None else [waybill, *tie])
+    )

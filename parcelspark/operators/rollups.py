@@ -33,16 +33,20 @@ TASK_FIELDS = ("waybill_no", "waybill_source", "express_type")
 
 
 def courier_task_list(pickups: DataFrame, pods: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct tasks, with the parcel's columns on the pickup side or on the delivery side."""
+    """Distinct tasks, with the parcel's columns on the pickup side or on the delivery side.
+
+    A pickup and a delivery are never equal, so each side is made distinct where its rows already are by parcel.
+    """
 
     def spread(tasks: DataFrame, side: str, other: str) -> DataFrame:
-        return tasks.select(
+        return tasks.distinct().select(
             *keys,
             *[F.col(field).alias(f"{field}_{side}") for field in TASK_FIELDS],
             *[F.lit(None).cast("string").alias(f"{field}_{other}") for field in TASK_FIELDS],
         )
 
-    return spread(pickups, "pickup", "pod").unionByName(spread(pods, "pod", "pickup")).distinct()
+    cols = [*keys, *TASK_FIELDS]
+    return spread(pickups.select(*cols), "pickup", "pod").unionByName(spread(pods.select(*cols), "pod", "pickup"))
 
 
 def bag_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from parcelspark.functions.classify import (
 )
 from parcelspark.functions.timeops import AsOf, local_time, rolling_window
 from parcelspark.operators.enrich import (
-    decode_option, exclude_matched, latest_status_join, lookup, require_match,
+    decode_option, exclude_matched, latest_status_join, lookup, of_spine, require_match,
 )
 from parcelspark.operators.records import first_values, latest_record, latest_values, one_record
 from parcelspark.sources.tables import Tables
@@ -42,15 +42,15 @@ def backlog_ops(tables: Tables, as_of: AsOf, *, days: int = 62) -> DataFrame:
     returns = rolling_window(tables["waybill_return_bill"], "return_record_time", days, as_of).select(
         "waybill_no", "update_time", "return_confirm_record_time", "return_pod_record_time"
     )
-    returns = returns.join(recent.select("waybill_no"), "waybill_no", "left_semi")
-    newest_return = latest_record(returns, "waybill_no", "update_time").drop("update_time")
+    newest_return = latest_record(of_spine(returns, recent), "waybill_no", "update_time").drop("update_time")
 
     outside = rolling_window(tables["dm_waybill_waybill_line"], "record_time", days, as_of).where(
         (F.col("deleted") == "0") & (F.col("next_location_name") == rules.OUTSIDE_CARRIER)
     )
+    outside = of_spine(outside.select("waybill_no"), waiting)
 
     problems = rolling_window(tables["waybill_problem_piece"], "operation_time", days, as_of)
-    problems = problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE)
+    problems = of_spine(problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE), waiting)
     last_problem = latest_values(
         problems, "waybill_no", "operation_time",
         {"last_pos_reason": "problem_reason", "last_pos_attempt": "operation_time"},

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from parcelspark.functions import rules
 from parcelspark.functions.classify import days_between_events, destination_branch
 from parcelspark.functions.timeops import AsOf, local_time, rolling_window, since
-from parcelspark.operators.enrich import decode_option, flag_exists, latest_status_join, lookup
+from parcelspark.operators.enrich import decode_option, flag_exists, latest_status_join, lookup, of_spine
 from parcelspark.operators.records import (
     attempt_pivot, first_value, latest_record, latest_value, latest_values,
 )
@@ -48,26 +48,29 @@ def everpro_claims(tables: Tables, as_of: AsOf, *, days: int = 186, scan_days: i
 
     returns = rolling_window(tables["waybill_return_bill"], "update_time", days, as_of)
     newest_return = latest_values(
-        returns, "waybill_no", "return_record_time",
+        of_spine(returns, waybills), "waybill_no", "return_record_time",
         {"return_regist": "return_record_time", "return_confirm": "return_confirm_record_time",
          "return_pod": "return_pod_record_time"},
     )
 
     problems = rolling_window(tables["waybill_problem_piece"], "operation_time", days, as_of)
-    problems = problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE)
+    problems = of_spine(problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE), waybills)
     attempts = attempt_pivot(
         problems, "waybill_no", "operation_time", {"pos_reason": "problem_reason"}, 3, time_name="pos_attempt",
         firsts={"first_pos_reason": "problem_reason", "first_pos_location": "operation_branch_name"},
     )
 
-    scans = rolling_window(tables["waybill_waybill_line"], "record_time", max(days, scan_days), as_of)
+    scans = rolling_window(tables["waybill_waybill_line"], "record_time", max(days, scan_days), as_of).select(
+        "waybill_no", "record_time", "operation_type", "problem_type", "operation_branch_name", "photo_url"
+    )
+    scans = decode_option(of_spine(scans, waybills), "operation_type", options, "operationType", "_activity")
     in_long = since(scans, "record_time", as_of.days_back(days), as_of.tz)
     in_short = since(scans, "record_time", as_of.days_back(scan_days), as_of.tz)
     delivery = F.col("operation_type") == rules.SCAN_DELIVERY
     marks = scans.where(in_short).groupBy("waybill_no").agg(
         F.min(F.when(delivery, F.col("record_time"))).alias("first_deliv_attempt"),
         latest_value("record_time", "operation_branch_name").alias("last_location"),
-        latest_value("record_time", "operation_type").alias("_last_code"),
+        latest_value("record_time", "_activity").alias("last_activity"),
         F.max("record_time").alias("last_scan_time"),
     )
     photos = attempt_pivot(
@@ -75,7 +78,6 @@ def everpro_claims(tables: Tables, as_of: AsOf, *, days: int = 186, scan_days: i
         firsts={"first_pos_photo_url": "photo_url"},
     )
     rows = latest_status_join(parcels, newest_return, attempts, marks, photos)
-    rows = decode_option(rows, "_last_code", options, "operationType", "last_activity")
     # A first problem photo belongs to a parcel with a recorded problem.
     first_photo = F.when(F.col("pos_attempt_1").isNotNull(), F.col("first_pos_photo_url"))
     th_destination = destination_branch(
@@ -124,7 +126,7 @@ def mengantar_claims(tables: Tables, as_of: AsOf, *, days: int = 93) -> DataFram
         {"covered_branch": "branch_name"},
     )
 
-    scans = rolling_window(tables["waybill_waybill_line"], "record_time", days, as_of)
+    scans = of_spine(rolling_window(tables["waybill_waybill_line"], "record_time", days, as_of), waybills)
     delivery = F.col("operation_type") == rules.SCAN_DELIVERY
     returned = F.col("operation_type") == rules.SCAN_RETURN
     firsts = scans.where(delivery | returned).groupBy("waybill_no").agg(
@@ -140,7 +142,7 @@ def mengantar_claims(tables: Tables, as_of: AsOf, *, days: int = 93) -> DataFram
     rows = latest_status_join(parcels, firsts, attempts)
 
     problems = rolling_window(tables["waybill_problem_piece"], "operation_time", days, as_of)
-    problems = problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE)
+    problems = of_spine(problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE), waybills)
     rows = flag_exists(
         rows, problems,
         {

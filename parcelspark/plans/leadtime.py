@@ -10,7 +10,7 @@ from parcelspark.functions.classify import (
     CLAMPED_LEGS, city_zone, first_mile_repair, is_hub, is_last_mile, leg_clamp, leg_leadtimes,
 )
 from parcelspark.functions.timeops import AsOf, local_time, rolling_window
-from parcelspark.operators.enrich import decode_option, latest_status_join
+from parcelspark.operators.enrich import decode_option, latest_status_join, of_spine
 from parcelspark.operators.records import first_value, latest_value, scan_neighbours
 from parcelspark.sources.tables import Tables
 
@@ -20,6 +20,8 @@ def tokopedia_leadtime(tables: Tables, as_of: AsOf, *, days: int = 35) -> DataFr
 
     Rows are not reduced: an order or last-mile record that occurs twice shows twice. The three picks
     from the scan log are one aggregate over the windowed scans, on the partitioning the window made.
+    Return bills are not joined: reduced to one per parcel they add no row and no column, and unreduced they
+    would put a scan in front of itself. Only scans of the shown parcels are windowed.
     """
     options = tables["system_option"]
     parcels = rolling_window(tables["dashboard_tokopedia"], "input_time", days, as_of, tz=None)
@@ -29,7 +31,8 @@ def tokopedia_leadtime(tables: Tables, as_of: AsOf, *, days: int = 35) -> DataFr
 
     scans = rolling_window(tables["dm_waybill_waybill_line"], "record_time", days, as_of)
     scans = scans.where(F.col("deleted") == "0").select("waybill_no", "record_time", "operation_branch_name", "operation_type")
-    scans = decode_option(scans, "operation_type", options, "operationType", "scan_type").drop("operation_type")
+    scans = of_spine(scans, parcels)
+    scans = decode_option(scans, "operation_type", options, "operationType", "scan_type", unique=False).drop("operation_type")
     walked = scan_neighbours(scans, "waybill_no", "record_time", "operation_branch_name", "scan_type")
 
     stop, before, after = (F.col(c) for c in ("operation_branch_name", "previous_branch_name", "next_location_name"))
@@ -51,8 +54,8 @@ def tokopedia_leadtime(tables: Tables, as_of: AsOf, *, days: int = 35) -> DataFr
         "waybill_no", F.col("arrival_time").alias("arrival_time_dest"), "th_arrival"
     )
     rows = first_mile_repair(latest_status_join(parcels, orders, last_mile, picks))
-    rows = decode_option(rows, "_source", options, "orderSource", "order_source")
-    rows = decode_option(rows, "_service", options, "serviceType", "service_type")
+    rows = decode_option(rows, "_source", options, "orderSource", "order_source", unique=False)
+    rows = decode_option(rows, "_service", options, "serviceType", "service_type", unique=False)
     scan_times = ("fm_sending_time", "mh_ori_arrival_time", "sending_time_to_th_dest")
     rows = rows.withColumns({name: local_time(F.col(name), as_of.tz) for name in scan_times})
     legs = leg_leadtimes(
@@ -82,7 +85,7 @@ def sent_to_3pl(tables: Tables, as_of: AsOf, *, days: int = 35, waybill_days: in
     scans = scans.where(F.col("deleted") == "0").select(
         "waybill_no", "record_time", "operation_branch_name", "operation_type", "next_location_name"
     )
-    scans = decode_option(scans, "operation_type", tables["system_option"], "operationType", "scan_type")
+    scans = decode_option(scans, "operation_type", tables["system_option"], "operationType", "scan_type", unique=False)
     handed = F.col("next_location_name") == rules.OUTSIDE_CARRIER
     at_hub = is_hub(F.col("operation_branch_name"))
     arrival = at_hub & (F.col("scan_type") == rules.LABEL_ARRIVAL)

@@ -41,9 +41,9 @@ def shipping_fee_check(tables: Tables, as_of: AsOf, *, days: int = 186) -> DataF
     )
     rows = orders.join(waybills, "waybill_no", "left")
     options = tables["system_option"]
-    rows = decode_option(rows, "_o_express", options, "expressType", "order_express_type")
-    rows = decode_option(rows, "_w_express", options, "expressType", "waybill_express_type")
-    rows = decode_option(rows, "_source", options, "orderSource", "order_source")
+    rows = decode_option(rows, "_o_express", options, "expressType", "order_express_type", unique=False)
+    rows = decode_option(rows, "_w_express", options, "expressType", "waybill_express_type", unique=False)
+    rows = decode_option(rows, "_source", options, "orderSource", "order_source", unique=False)
 
     def side(prefix: str, actual: str) -> dict:
         return {

@@ -13,7 +13,7 @@ from parcelspark.functions.classify import (
     parcel_status, pickup_verdict, sla_cutover, sla_verdict, status_relabel,
 )
 from parcelspark.functions.timeops import AsOf, joined_key, local_date, local_time, rolling_window
-from parcelspark.operators.enrich import contract_sla_join, decode_option, lane_sla_join, lookup
+from parcelspark.operators.enrich import contract_sla_join, decode_option, lane_sla_join, lookup, of_spine
 from parcelspark.operators.records import current_tariff, first_values, latest_record, latest_values
 from parcelspark.sources.tables import Tables
 
@@ -29,6 +29,7 @@ def blibli_delivery(
     )
     waybills = decode_option(waybills, "waybill_source", tables["system_option"], "orderSource", "order_source")
     waybills = waybills.where(F.col("order_source").isin(*rules.BLIBLI_SOURCES))
+    problems = of_spine(tables["waybill_problem_piece"].where(F.col("deleted") == "0"), waybills)
     lane = {
         "recipient_city_name": "Destination_City",
         "sender_city_name": "Origin_City",
@@ -39,7 +40,6 @@ def blibli_delivery(
     # The one shuffle by parcel; every later join is on the parcel or to a small master.
     parcels = latest_record(waybills, "waybill_no", "update_time")
 
-    problems = tables["waybill_problem_piece"].where(F.col("deleted") == "0")
     parcels = parcels.join(latest_values(problems, "waybill_no", "operation_time", ["problem_reason"]), "waybill_no", "left")
     parcels = lookup(
         parcels, tables["mitra_late_reason_delivery"], {"waybill_no": "waybill_no"},
@@ -105,21 +105,28 @@ def blibli_delivery(
 FASHION_LANE = {"recipient_city_name": "destination_city", "sender_city_name": "origin_city"}
 
 
-def _newest_return(tables: Tables) -> DataFrame:
-    """Newest return record per parcel; any one record is a valid choice for these reports."""
-    returns = tables["waybill_return_bill"].where(F.col("deleted") == "0")
+def _newest_return(tables: Tables, spine: DataFrame) -> DataFrame:
+    """Newest return record per parcel of the spine; any one record is a valid choice for these reports."""
+    returns = of_spine(tables["waybill_return_bill"].where(F.col("deleted") == "0"), spine)
     cols = ["return_confirm_record_time", "return_pod_record_time", "return_signer"]
     return latest_record(returns.select("waybill_no", "update_time", *cols), "waybill_no", "update_time").drop("update_time")
 
 
 def zalora_daily(tables: Tables, as_of: AsOf, *, days: int = 35) -> DataFrame:
     """Daily delivery report for the fashion clients, one row per parcel on a promised lane."""
+    orders = rolling_window(tables["order_order"], "input_time", days, as_of)
+    orders = decode_option(orders, "order_source", tables["system_option"], "orderSource", "source_label")
+    orders = orders.where(F.col("source_label").isin(*rules.ZALORA_SOURCES)).select(
+        "waybill_no", "order_no", "input_time", "order_status", "source_label", "sender_name", "recipient_name",
+        "recipient_address", "recipient_city_name", "recipient_cellphone", "recipient_province_name",
+        "sender_city_name",
+    )
     waybills = rolling_window(tables["waybill_waybill"], "shipping_time", days, as_of)
     waybills = waybills.where(F.col("deleted") == "0").select(
         "waybill_no", "shipping_time", "update_time", "pod_record_time", "signer", "item_calculated_weight",
         "sender_city_name", "recipient_city_name", "recipient_province_name",
     )
-    waybills = lane_sla_join(waybills, tables["masterdata_sla_shopee"], FASHION_LANE, "sla", "sla")
+    waybills = lane_sla_join(of_spine(waybills, orders), tables["masterdata_sla_shopee"], FASHION_LANE, "sla", "sla")
     parcels = latest_record(waybills, "waybill_no", "update_time").select(
         "waybill_no", "shipping_time", "pod_record_time", "signer", "item_calculated_weight",
         F.col("recipient_city_name").alias("dest_city"),
@@ -127,25 +134,19 @@ def zalora_daily(tables: Tables, as_of: AsOf, *, days: int = 35) -> DataFrame:
         F.col("sla").cast("bigint").alias("sla"),
     )
 
-    orders = rolling_window(tables["order_order"], "input_time", days, as_of)
-    orders = decode_option(orders, "order_source", tables["system_option"], "orderSource", "source_label")
-    orders = orders.where(F.col("source_label").isin(*rules.ZALORA_SOURCES)).select(
-        "waybill_no", "order_no", "input_time", "order_status", "source_label", "sender_name", "recipient_name",
-        "recipient_address", "recipient_city_name", "recipient_cellphone", "recipient_province_name",
-        "sender_city_name",
-    )
+    spine = orders
     orders = latest_record(orders, "waybill_no", "input_time")
     orders = decode_option(orders, "order_status", tables["system_option"], "orderStatus", "status_label")
 
     problems = rolling_window(tables["waybill_problem_piece"], "operation_time", days, as_of)
-    problems = problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE)
+    problems = of_spine(problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE), spine)
     last_problem = latest_values(
         problems, "waybill_no", "operation_time", {"pos_time": "operation_time", "pos_reason": "problem_reason"}
     )
     joined = (
         parcels.join(orders, "waybill_no", "inner")
         .join(last_problem, "waybill_no", "left")
-        .join(_newest_return(tables), "waybill_no", "left")
+        .join(_newest_return(tables, spine), "waybill_no", "left")
     )
     shipped, pod = F.col("shipping_time"), F.col("pod_record_time")
     confirm, return_pod = F.col("return_confirm_record_time"), F.col("return_pod_record_time")
@@ -196,6 +197,13 @@ def zalora_performance(tables: Tables, as_of: AsOf, *, days: int = 65) -> DataFr
 
     The old due date shows the new promise, while the old verdict uses the old one; both are kept.
     """
+    pickups = rolling_window(tables["dashboard_bd_kpi_monthly"], "input_time", days, as_of, tz=None)
+    pickups = pickups.where(F.col("Order_Source").isin(*rules.ZALORA_SOURCES)).select(
+        "waybill_no", "order_no", "input_time", "Pickup_Time", "pickup_failure_time", "update_time_oo",
+        "Order_Status", "Order_Source", "Pickup_Failure_Reason", "Sender_Name", "scheduling_or_pickup_branch",
+        "sender_district_name", "sender_city_name", "sender_province_name", "Pickup_Category_everpro",
+        "Pickup_Performance_everpro", "Pickup_Status", "Late_Pickup_Factor", "Late_Pickup_Category",
+    )
     waybills = rolling_window(tables["waybill_waybill"], "shipping_time", days, as_of)
     waybills = waybills.where(F.col("deleted") == "0").select(
         "waybill_no", "shipping_time", "update_time", "pod_record_time", "express_type", "vip_customer_id",
@@ -205,29 +213,23 @@ def zalora_performance(tables: Tables, as_of: AsOf, *, days: int = 65) -> DataFr
         F.col("recipient_district_name").alias("dest_district"),
     )
     lane = {"dest_city": "destination_city", "lane_from": "origin_city"}
-    waybills = lane_sla_join(waybills, tables["masterdata_sla_shopee"], lane, "sla", "old_sla")
+    waybills = lane_sla_join(of_spine(waybills, pickups), tables["masterdata_sla_shopee"], lane, "sla", "old_sla")
     waybills = contract_sla_join(waybills, current_tariff(tables["standard_shipping_fee"], as_of))
     parcels = latest_record(waybills, "waybill_no", "update_time").withColumn("old_sla", F.col("old_sla").cast("bigint"))
 
-    pickups = rolling_window(tables["dashboard_bd_kpi_monthly"], "input_time", days, as_of, tz=None)
-    pickups = pickups.where(F.col("Order_Source").isin(*rules.ZALORA_SOURCES)).select(
-        "waybill_no", "order_no", "input_time", "Pickup_Time", "pickup_failure_time", "update_time_oo",
-        "Order_Status", "Order_Source", "Pickup_Failure_Reason", "Sender_Name", "scheduling_or_pickup_branch",
-        "sender_district_name", "sender_city_name", "sender_province_name", "Pickup_Category_everpro",
-        "Pickup_Performance_everpro", "Pickup_Status", "Late_Pickup_Factor", "Late_Pickup_Category",
-    )
+    spine = pickups
     pickups = latest_record(pickups, "waybill_no", "update_time_oo")
     pickups = decode_option(pickups, "Order_Status", tables["system_option"], "orderStatus", "status_label")
 
     problems = rolling_window(tables["waybill_problem_piece"], "operation_time", days, as_of)
-    problems = problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE)
+    problems = of_spine(problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE), spine)
     first_problem = first_values(
         problems, "waybill_no", "operation_time", {"pos_time": "operation_time", "pos_reason": "problem_reason"}
     )
     joined = (
         pickups.join(parcels, "waybill_no", "inner")
         .join(first_problem, "waybill_no", "left")
-        .join(_newest_return(tables), "waybill_no", "left")
+        .join(_newest_return(tables, spine), "waybill_no", "left")
         .join(tables["mitra_late_reason_delivery"].select("waybill_no", "late_delivery_reason"), "waybill_no", "left")
     )
     shipped, pod = F.col("shipping_time"), F.col("pod_record_time")

@@ -15,9 +15,10 @@ from registry.standins import Standins, ctes
 # Late enough in the evening that the local calendar is a day ahead of UTC.
 AS_OF = AsOf(datetime(2001, 8, 1, 20))
 TODAY, UTC_TODAY = "DATE '2001-08-02'", "DATE '2001-08-01'"
-# A look-back that covers every row of the given tables, so no query is cheap by reading few of them,
-# and a shorter one for reports that look back differently at two inputs.
-ALL_DAYS, SHORT_DAYS = 2500, 1500
+# Look-backs that cover every row of the given tables, so no query is cheap by reading few of them; the longer one
+# is for inputs that a report looks back at further. The short one is for the one report whose scans it looks back
+# at less far than its parcels.
+ALL_DAYS, LONG_DAYS, SHORT_DAYS = 2500, 2700, 1500
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,7 +88,7 @@ def at_last(value: str, time: str, where: str = "TRUE") -> str:
 
 
 def label(code: str, kind: str) -> str:
-    return f"(SELECT o.option_name FROM system_option o WHERE o.type_option = '{kind}' AND o.option_value = {code})"
+    return f"(SELECT max(o.option_name) FROM system_option o WHERE o.type_option = '{kind}' AND o.option_value = {code})"
 
 
 def newest(table: str, key: str, order: str, where: str = "TRUE", cols: str = "*") -> str:

@@ -8,7 +8,7 @@ from parcelspark.functions import rules
 from parcelspark.functions.classify import CLAMPED_LEGS, LEG_NAMES
 from parcelspark.plans import backlog, cargo, claims, courier, leadtime, orders, sla, volume
 from registry.base import (
-    ALL_DAYS, AS_OF, SHORT_DAYS, TODAY, UTC_TODAY, at_first, at_last, back, case, day, due, in_list, label, local,
+    ALL_DAYS, AS_OF, LONG_DAYS, SHORT_DAYS, TODAY, UTC_TODAY, at_first, at_last, back, case, day, due, in_list, label, local,
     local_day, money, newest, verdict,
 )
 from registry.classify_cases import REMARKS_SQL, ZONE_SQL, differences, rule_lookup
@@ -79,7 +79,7 @@ def _(s):
 ], f"""
 WITH facility AS (
   SELECT * FROM masterdata_facility_to_kanwil
-  QUALIFY row_number() OVER (PARTITION BY branch_name ORDER BY kanwil_name NULLS FIRST, branch_no NULLS FIRST) = 1),
+  QUALIFY row_number() OVER (PARTITION BY branch_name ORDER BY kanwil_name NULLS LAST, branch_no NULLS LAST) = 1),
 lm AS (SELECT *, CAST(arrival_time AS DATE) >= {UTC_TODAY} - {ALL_DAYS} AS recent FROM dashboard_productivity_lm WHERE aging_day > 2),
 tried AS (
   SELECT lm.waybill_no, min({local('s.record_time')}) AS t FROM lm JOIN waybill_waybill_line s
@@ -143,26 +143,26 @@ _AGG = _AGG_PLAIN + ", src, express"
 
 
 @case("d3_courier_incentive_agg", _COURIER_NEEDS, f"""
-WITH {_task_ctes(ALL_DAYS, SHORT_DAYS)}
+WITH {_task_ctes(ALL_DAYS, LONG_DAYS)}
 SELECT {_AGG_PLAIN}, src AS waybill_source, express AS express_type, count(*) FILTER (side = 'p') AS pickup,
        count(*) FILTER (side = 'd') AS pod
 FROM (SELECT {_AGG}, 'p' AS side FROM p UNION ALL SELECT {_AGG}, 'd' FROM d)
 GROUP BY {_AGG}""")
 def _(s):
-    return courier.courier_incentive_agg(s, AS_OF, days=ALL_DAYS, order_days=SHORT_DAYS)
+    return courier.courier_incentive_agg(s, AS_OF, days=ALL_DAYS, order_days=LONG_DAYS)
 
 
 _LIST = ", ".join(courier.LIST_KEYS)
 
 
 @case("d4_courier_incentive_raw", _COURIER_NEEDS, f"""
-WITH {_task_ctes(ALL_DAYS, SHORT_DAYS)}
+WITH {_task_ctes(ALL_DAYS, LONG_DAYS)}
 SELECT {_LIST}, waybill_no AS waybill_no_pickup, src AS waybill_source_pickup, express AS express_type_pickup,
        NULL::VARCHAR AS waybill_no_pod, NULL::VARCHAR AS waybill_source_pod, NULL::VARCHAR AS express_type_pod FROM p
 UNION
 SELECT {_LIST}, NULL, NULL, NULL, waybill_no, src, express FROM d""")
 def _(s):
-    return courier.courier_incentive_raw(s, AS_OF, days=ALL_DAYS, order_days=SHORT_DAYS)
+    return courier.courier_incentive_raw(s, AS_OF, days=ALL_DAYS, order_days=LONG_DAYS)
 
 
 # --- D5 ------------------------------------------------------------------------------------------
@@ -188,11 +188,11 @@ WITH d AS (
          {', '.join(f'CAST(o.{a} AS DOUBLE) AS order_{b}, CAST(w.{a} AS DOUBLE) AS waybill_{b}' for a, b in _NUMBERS.items())},
          {differences(label('o.express_type', 'expressType') + ' <> ' + label('w.express_type', 'expressType'))}
   FROM order_order o LEFT JOIN waybill_waybill w ON w.waybill_no = o.waybill_no AND w.deleted = '0'
-       AND {back('w.shipping_time', SHORT_DAYS)}
-  WHERE contains(o.waybill_no, 'IDE') AND {back('o.input_time', SHORT_DAYS)})
+       AND {back('w.shipping_time')}
+  WHERE contains(o.waybill_no, 'IDE') AND {back('o.input_time')})
 SELECT * EXCLUDE (dsc, dsd, drc, drd, dcw, dvw, daw, din, dex), {REMARKS_SQL} FROM d""")
 def _(s):
-    return orders.shipping_fee_check(s, AS_OF, days=SHORT_DAYS)
+    return orders.shipping_fee_check(s, AS_OF, days=ALL_DAYS)
 
 
 # --- D6, D7 --------------------------------------------------------------------------------------
@@ -234,8 +234,9 @@ f1 AS (SELECT waybill_no, {at_first('photo_url', 'record_time')} AS url FROM way
 fd AS (SELECT waybill_no, min(record_time) AS t FROM waybill_waybill_line
        WHERE operation_type = '09' AND {back('record_time', SHORT_DAYS)} GROUP BY 1),
 ll AS (SELECT waybill_no, max(record_time) AS t, {at_last('operation_branch_name', 'record_time')} AS place,
-              {at_last('operation_type', 'record_time')} AS code
-       FROM waybill_waybill_line WHERE {back('record_time', SHORT_DAYS)} GROUP BY 1)
+              {at_last('activity', 'record_time')} AS activity
+       FROM (SELECT *, {label('operation_type', 'operationType')} AS activity FROM waybill_waybill_line
+             WHERE {back('record_time', SHORT_DAYS)}) GROUP BY 1)
 SELECT w.waybill_no, {local('w.shipping_time')} AS shipping_time, w.sender_city_name, w.recipient_city_name,
        {label('w.void_flag', 'voidFlag')} AS void_status, {local('r.a')} AS return_regist_time,
        {local('r.b')} AS return_confirm_time, {local('r.c')} AS return_pod_record_time, {local('fp.t')} AS first_pos_attempt,
@@ -246,7 +247,7 @@ SELECT w.waybill_no, {local('w.shipping_time')} AS shipping_time, w.sender_city_
        coalesce(w.pod_branch_name, (SELECT c.branch_name FROM masterdata_branch_coverage_th c
                                     WHERE c.district_id = w.recipient_district_id)) AS th_destination,
        {', '.join(f"{local(f'pr.at_{i}')} AS pos_attempt_{i}, pr.why_{i} AS pos_reason_{i}, ph.url_{i} AS pos_photo_url_{i}" for i in (2, 3))},
-       {money(*_FEES, of='w.')}, ll.place AS last_location, {label('ll.code', 'operationType')} AS last_activity,
+       {money(*_FEES, of='w.')}, ll.place AS last_location, ll.activity AS last_activity,
        {local('ll.t')} AS last_scan_time
 FROM w LEFT JOIN r USING (waybill_no) LEFT JOIN fp USING (waybill_no) LEFT JOIN pr USING (waybill_no)
 LEFT JOIN ph USING (waybill_no) LEFT JOIN f1 USING (waybill_no) LEFT JOIN fd USING (waybill_no) LEFT JOIN ll USING (waybill_no)""")
@@ -295,9 +296,10 @@ def _(s):
 WITH one AS (
   SELECT waybill_no, bag_no, vehicle_tag_no, record_time, vehicle_tag_no || ' - ' || bag_no || ' - ' || waybill_no AS vm_bm_awb
   FROM waybill_waybill_line WHERE {back('record_time')}
-  QUALIFY row_number() OVER (PARTITION BY waybill_no ORDER BY vehicle_tag_no NULLS FIRST, bag_no NULLS FIRST, record_time) = 1),
+  QUALIFY row_number() OVER (PARTITION BY waybill_no
+      ORDER BY vm_bm_awb IS NULL, vehicle_tag_no NULLS LAST, bag_no NULLS LAST, record_time) = 1),
 kept AS (
-  SELECT *, row_number() OVER (PARTITION BY vm_bm_awb ORDER BY vehicle_tag_no NULLS FIRST, bag_no NULLS FIRST, waybill_no) AS nr
+  SELECT *, row_number() OVER (PARTITION BY vm_bm_awb ORDER BY vehicle_tag_no NULLS LAST, bag_no NULLS LAST, waybill_no) AS nr
   FROM one)
 SELECT {local('k.record_time')} AS record_time, k.bag_no, k.waybill_no, o.kota_asal, o.kec_asal, o.kota_tujuan,
        CAST(o.berat AS DOUBLE) AS berat, CAST(o.biaya_standar_pengiriman AS DOUBLE) AS standard_shipping_fee,
@@ -318,7 +320,7 @@ hub_sheet AS (
   FROM sheet LEFT JOIN hub a ON a.mh_code = sheet.origin LEFT JOIN hub b ON b.mh_code = sheet.destination_by_issued)"""
 _HUB_NEEDS = ["smu_template_2", "a_mh_facility_name_rnd"]
 _SYSTEM_DATES = dict(
-    scans_from=date(1996, 1, 1), scans_to=date(2001, 12, 31), sending_from=date(1995, 1, 1),
+    scans_from=date(1995, 2, 1), scans_to=date(2001, 12, 31), sending_from=date(1995, 1, 1),
     waybills_from=date(1995, 1, 1), waybills_to=date(2001, 12, 31),
 )
 _SYSTEM_NEEDS = ["waybill_waybill_line", "waybill_waybill", "system_option"]
@@ -333,9 +335,9 @@ def _hub_scan(code: str, start: str) -> str:
 
 
 _SYSTEM_FEES = ("standard_shipping_fee", "handling_fee", "other_fee", "insurance_amount", "total_shipping_fee")
-_SYSTEM_SQL = f"""sent AS ({_hub_scan('04', '1995-01-01')}), arrived AS ({_hub_scan('05', '1996-01-01')}),
+_SYSTEM_SQL = f"""sent AS ({_hub_scan('04', '1995-01-01')}), arrived AS ({_hub_scan('05', '1995-02-01')}),
 bag AS (SELECT bag_no, vehicle_tag_no, waybill_no, min(record_time) AS t FROM waybill_waybill_line
-        WHERE bag_no <> '' AND vehicle_tag_no IS NOT NULL AND {day('record_time')} BETWEEN DATE '1996-01-01' AND DATE '2001-12-31'
+        WHERE bag_no <> '' AND vehicle_tag_no IS NOT NULL AND {day('record_time')} BETWEEN DATE '1995-02-01' AND DATE '2001-12-31'
         GROUP BY ALL),
 system AS (
   SELECT bag_no || ' - ' || vehicle_tag_no || ' - ' || waybill_no AS bm_vm_awb, bag_no || ' - ' || vehicle_tag_no AS bm_vm_concat,
@@ -450,9 +452,9 @@ SELECT out.waybill_no, w.order_no, out.operation_branch_name, out.next_location_
        {local('out.record_time')} AS sending_time_to_3pl, w.pickup_branch_name, w.sender_district_name, w.sender_city_name,
        w.sender_province_name, {local('w.shipping_time')} AS pickup_time, w.recipient_district_name, w.recipient_city_name,
        w.recipient_province_name, {local('w.pod_record_time')} AS pod_record_time, w.item_calculated_weight
-FROM out LEFT JOIN waybill_waybill w ON w.waybill_no = out.waybill_no AND {back('w.shipping_time', SHORT_DAYS)}""")
+FROM out LEFT JOIN waybill_waybill w ON w.waybill_no = out.waybill_no AND {back('w.shipping_time', LONG_DAYS)}""")
 def _(s):
-    return leadtime.sent_to_3pl(s, AS_OF, days=ALL_DAYS, waybill_days=SHORT_DAYS)
+    return leadtime.sent_to_3pl(s, AS_OF, days=ALL_DAYS, waybill_days=LONG_DAYS)
 
 
 # --- D14 -----------------------------------------------------------------------------------------
@@ -472,13 +474,13 @@ WITH w AS ({newest('waybill_waybill', 'waybill_no', 'update_time',
 p AS (
   SELECT w.waybill_no, w.shipping_time AS s, w.standard_shipping_fee AS fee, {label('w.waybill_source', 'waybillSource')} AS waybill_source,
          o.input_time AS i, ifnull(o.input_time, w.shipping_time) AS e
-  FROM w LEFT JOIN order_order o ON o.waybill_no = w.waybill_no AND {local_day('o.input_time')} >= DATE '1996-01-01')
+  FROM w LEFT JOIN order_order o ON o.waybill_no = w.waybill_no AND {local_day('o.input_time')} >= DATE '1994-09-01')
 SELECT {local_day('s')} AS pickup_date, {_month('s')} AS month_pickup, {_week('s')} AS week_pickup, {local_day('e')} AS input_date,
        {_month('i')} AS month_order_oo, {_month('e')} AS month_order, {_week('i')} AS week_order_oo, {_week('e')} AS week_order,
        waybill_source, count(waybill_no) AS total_volume, CAST(sum(fee) AS DOUBLE) AS standard_shipping_fee
 FROM p GROUP BY ALL ORDER BY pickup_date, week_pickup, total_volume DESC""")
 def _(s):
-    return volume.weekly_volume(s, AS_OF, start=date(1995, 1, 1), orders_start=date(1996, 1, 1))
+    return volume.weekly_volume(s, AS_OF, start=date(1995, 1, 1), orders_start=date(1994, 9, 1))
 
 
 # --- D16, D18 ------------------------------------------------------------------------------------
@@ -509,15 +511,15 @@ _STATUS = (
 @case("d16_zalora_daily", [
     "order_order", "waybill_waybill", "waybill_problem_piece", "waybill_return_bill", "system_option", _LANES,
 ], f"""
-WITH {_lane_parcels(SHORT_DAYS)}, {_RETURN_NOW},
-pos AS ({_last_problem(_NO_PICKUP_PROBLEM + ' AND ' + back('operation_time', SHORT_DAYS))}),
+WITH {_lane_parcels(ALL_DAYS)}, {_RETURN_NOW},
+pos AS ({_last_problem(_NO_PICKUP_PROBLEM + ' AND ' + back('operation_time'))}),
 fact AS (
   SELECT o.*, {label('o.order_source', 'orderSource')} AS src, {_STATUS} AS pod_status, ship.shipping_time AS shipped,
          ship.pod_record_time AS pod, ship.signer, ship.item_calculated_weight AS kg, ship.recipient_city_name AS dest_city,
          ship.recipient_province_name AS dest_prov, ship.lane_days, {due('ship.shipping_time', 'ship.lane_days')} AS due_day,
          pos.pos_time, pos.pos_reason, ret.return_confirm_record_time AS rc, ret.return_pod_record_time AS rp, ret.return_signer
   FROM order_order o JOIN ship USING (waybill_no) LEFT JOIN pos USING (waybill_no) LEFT JOIN ret USING (waybill_no)
-  WHERE {back('o.input_time', SHORT_DAYS)} AND src IN {_FASHION})
+  WHERE {back('o.input_time')} AND src IN {_FASHION})
 SELECT waybill_no, order_no AS package_number, order_no AS no_order, sender_name AS seller_name, recipient_name AS customer_name,
        recipient_address AS customer_address, recipient_city_name AS shipping_city, recipient_cellphone AS cust_phone_no,
        recipient_province_name AS region, sender_city_name AS origin_city, kg AS chargeable_weight_by_3PL, kg AS real_weight,
@@ -530,7 +532,7 @@ SELECT waybill_no, order_no AS package_number, order_no AS no_order, sender_name
        {ZONE_SQL['fashion']('dest_prov', 'dest_city')} AS city_category, dest_city, dest_prov, {local('input_time')} AS input_time
 FROM fact""")
 def _(s):
-    return sla.zalora_daily(s, AS_OF, days=SHORT_DAYS)
+    return sla.zalora_daily(s, AS_OF, days=ALL_DAYS)
 
 
 @case("d18_zalora_performance", [

@@ -122,7 +122,7 @@ WITH per_waybill AS (
          vehicle_tag_no || ' - ' || bag_no || ' - ' || waybill_no AS vm_bm_awb
   FROM waybill_waybill_line
   QUALIFY row_number() OVER (PARTITION BY waybill_no
-      ORDER BY record_time, bag_no NULLS FIRST, vehicle_tag_no NULLS FIRST) = 1)
+      ORDER BY vm_bm_awb IS NULL, record_time, bag_no NULLS LAST, vehicle_tag_no NULLS LAST) = 1)
 SELECT * FROM per_waybill
 QUALIFY vm_bm_awb IS NOT NULL OR waybill_no = min(waybill_no) OVER (PARTITION BY vm_bm_awb)""")
 def _(s):
@@ -268,7 +268,8 @@ def office_sql(level: str, office: str, province: str) -> str:
 REGION_CTES = f"""area AS (SELECT city_id, min(province_name) AS province FROM res_area GROUP BY 1),
 region_of AS (
   SELECT b.id, b.branch_no, {label('b.branch_level', 'branchLevel')} AS branch_level, a.province, k.kanwil_name AS office
-  FROM res_branch b LEFT JOIN area a USING (city_id) LEFT JOIN mapping_kanwil_area k ON k.province_name = a.province)"""
+  FROM (SELECT * FROM res_branch QUALIFY row_number() OVER (PARTITION BY id ORDER BY branch_no, branch_level, city_id) = 1) b
+  LEFT JOIN area a USING (city_id) LEFT JOIN mapping_kanwil_area k ON k.province_name = a.province)"""
 REGION_NEEDS = ["res_branch", "res_area", "system_option", "mapping_kanwil_area"]
 
 

@@ -50,7 +50,7 @@ OPTIONS = [
     ("problemType", "01", "Delivery problem"), ("problemType", "02", "Pickup problem"),
     ("branchLevel", "1", "TH"), ("branchLevel", "2", "MH"), ("branchLevel", "3", "PDB"),
     ("branchLevel", "4", "Agent"), ("branchLevel", "5", "Outlet"),
-    ("voidFlag", "0", "Not void"), ("voidFlag", "1", "Void"),
+    ("voidFlag", "0", "Not void"), ("voidFlag", "0", "Active"), ("voidFlag", "1", "Void"),
     ("returnFlag", "0", "No return"), ("returnFlag", "1", "Return"),
     ("returnConfirmStatus", "0", "Open"), ("returnConfirmStatus", "1", "Confirmed"),
     ("orderStatus", "P", "Picked Up"), ("orderStatus", "O", "Cancel Order"), ("orderStatus", "F", "Done"),
@@ -187,7 +187,13 @@ SELECT {_number('l_orderkey')} AS waybill_no, l_shipdate + {_hours('l_linenumber
        {_REASON} AS register_reason_bahasa,
        CASE WHEN l_partkey % 6 = 0 THEN '3PL' ELSE 'TH ' || CAST(l_partkey % 25 AS STRING) END AS next_location_name,
        CASE WHEN l_tax > 0.07 THEN '1' ELSE '0' END AS deleted
-FROM lineitem"""
+FROM lineitem
+UNION ALL
+SELECT {_number('l_orderkey')}, l_shipdate + {_hours('l_linenumber')},
+       CASE l_suppkey % 3 WHEN 0 THEN '77' WHEN 1 THEN '04' ELSE '18' END, {_branch('l_suppkey')},
+       'BM' || CAST(l_suppkey AS STRING), NULL, NULL, '01', CAST(l_suppkey % 11 AS STRING), {_REASON},
+       'TH ' || CAST(l_partkey % 25 AS STRING), '0'
+FROM lineitem WHERE l_partkey % 12 = 0"""
 VIEWS["dm_waybill_waybill_line"] = "SELECT * FROM waybill_waybill_line"
 
 VIEWS["waybill_problem_piece"] = f"""
@@ -265,7 +271,10 @@ SELECT s_suppkey AS id, 'P' || CAST(s_suppkey AS STRING) AS personnel_no,
 FROM supplier"""
 VIEWS["res_branch"] = """
 SELECT s_suppkey AS id, 'B' || CAST(s_suppkey AS STRING) AS branch_no, CAST(s_suppkey % 6 AS STRING) AS branch_level,
-       CAST(s_nationkey AS BIGINT) AS city_id FROM supplier"""
+       CAST(s_nationkey AS BIGINT) AS city_id FROM supplier
+UNION ALL
+SELECT s_suppkey, 'B' || CAST(s_suppkey AS STRING) || ' closed', CAST(s_suppkey % 5 AS STRING), CAST(s_nationkey AS BIGINT)
+FROM supplier WHERE s_suppkey % 7 = 0"""
 VIEWS["res_area"] = """
 SELECT CAST(c_nationkey AS BIGINT) AS city_id, province AS province_name
 FROM customer LEFT JOIN place ON place_id = c_nationkey"""
