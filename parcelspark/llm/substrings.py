@@ -49,7 +49,7 @@ def _nodes(rows: DataFrame, window: int, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: list[list] = [[] for _ in names]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, text in zip(batch.column(0).to_pylist(), words.each(batch.column(1))):
                 data = text.encode()
                 own = words.split(data)
                 if len(own) < window:
@@ -111,15 +111,16 @@ def _paths(occurrences: DataFrame) -> DataFrame:
 
 
 def _items(docs: DataFrame, window: int, k: int) -> DataFrame:
-    """(a, b, doc, crc, start, end): the digest of each path occurrence of a window's length or more, and of each
-    window around a repeated node that such a path does not hold whole."""
-    names = ["a", "b", "doc", "crc", "start", "end"]
-    types = [pa.int64()] * 4 + [pa.int32()] * 2
+    """(a, b, doc, crc, start, end, more): the digest of each path occurrence of a window's length or more, and of
+    each window around a repeated node that such a path does not hold whole. A document has one row per digest;
+    ``more`` holds the starts of further places with the same words, which a text that repeats itself has many of."""
+    names = ["a", "b", "doc", "crc", "start", "end", "more"]
+    types = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: list[list] = [[] for _ in names]
-            for doc, crc, packed, spans in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, crc, packed, spans in zip(*(words.each(c) for c in batch.columns)):
                 own = words.hashed(words.split(zlib.decompress(packed)))
                 kmers = words.Runs(own).each(k)
                 nearest = _smallest(kmers, window - k + 1)
@@ -137,13 +138,30 @@ def _items(docs: DataFrame, window: int, k: int) -> DataFrame:
                 across = (low[nearest] >= 0) & ((begin < low[nearest]) | (begin + window > high[nearest]))
                 start = np.concatenate([np.array(starts, np.int64), begin[across]])
                 end = np.concatenate([np.array(ends, np.int64), begin[across] + window])
-                digests = [words.signed(words.Runs(own, lane).of(start, end)) for lane in (0, 1)]
-                values = (*digests, np.full(len(start), doc), np.full(len(start), crc), start.astype(np.int32), end.astype(np.int32))
+                a, b = (words.signed(words.Runs(own, lane).of(start, end)) for lane in (0, 1))
+                order = np.lexsort((start, b, a))
+                a, b, start, end = a[order], b[order], start[order], end[order]
+                opens = np.ones(len(a), bool)
+                opens[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+                first = np.flatnonzero(opens)
+                more = np.full(len(first), None, object)
+                sizes = np.diff(np.append(first, len(a)))
+                for group in np.flatnonzero(sizes > 1):
+                    more[group] = start[first[group] + 1 : first[group] + sizes[group]].tolist()
+                values = (
+                    a[first],
+                    b[first],
+                    np.full(len(first), doc),
+                    np.full(len(first), crc),
+                    start[first].astype(np.int32),
+                    end[first].astype(np.int32),
+                    more,
+                )
                 for column, value in zip(made, values):
                     column.append(value)
             yield from _batches(made, types, names)
 
-    return docs.mapInArrow(run, "a long, b long, doc long, crc long, start int, end int")
+    return docs.mapInArrow(run, "a long, b long, doc long, crc long, start int, end int, more array<int>")
 
 
 def _zipped(rows: DataFrame) -> DataFrame:
@@ -165,8 +183,9 @@ def _zipped(rows: DataFrame) -> DataFrame:
 
 
 def repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 50) -> tuple[DataFrame, DataFrame]:
-    """(doc, crc, spans): for documents with words to remove, the [start, end) word spans covered by windows that
-    also start in a document with a smaller id; and (doc, text), the rows it looked at.
+    """(doc, crc, spans): for documents with words to remove, the word spans from start to end, and of the same length
+    from each of ``more``, whose windows also start in a document with a smaller id; and (doc, text), the rows it
+    looked at.
 
     ``crc`` is the CRC-32 of the text's bytes; with the id it tells rows apart, so that an id may have several texts.
     Rows without id or text take no part; rows with equal ids never remove each other's words.
@@ -192,7 +211,7 @@ def repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
         items.join(sources, ["a", "b"])
         .where("source < doc")
         .groupBy("doc", "crc")
-        .agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+        .agg(F.collect_list(F.struct("start", "end", "more")).alias("spans"))
     )
     return spans, rows
 
@@ -201,8 +220,10 @@ def _removed(count: int, spans: list[dict]) -> np.ndarray:
     """Which of ``count`` words the spans cover."""
     change = np.zeros(count + 1, np.int64)
     for span in spans:
-        change[span["start"]] += 1
-        change[span["end"]] -= 1
+        size = span["end"] - span["start"]
+        for start in (span["start"], *(span["more"] or ())):
+            change[start] += 1
+            change[start + size] -= 1
     return np.cumsum(change)[:-1] > 0
 
 
@@ -230,7 +251,7 @@ def changed_texts(spans: DataFrame, rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
-            for doc, crc, packed, own in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, crc, packed, own in zip(*(words.each(c) for c in batch.columns)):
                 data = zlib.decompress(packed)
                 gone = _removed(len(words.split(data)), own)
                 made.append((doc, crc, _without(data, gone).decode(), *_digest(data, gone)))

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 # Words a worker remembers with their hashes; a full memory is emptied, which costs time only.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 500_000
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
@@ -22,6 +22,12 @@ _HASHES = _Hashes()
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def each(column, size: int = 256):
+    """The values of an Arrow column; few of them are Python objects at a time."""
+    for start in range(0, len(column), size):
+        yield from column[start : start + size].to_pylist()
+
+
 def split(text: str | bytes) -> list[bytes]:
     """Runs of bytes other than blank, tab, line feed, vertical tab, form feed and carriage return."""
     return (text.encode() if isinstance(text, str) else text).split()
