@@ -193,10 +193,11 @@ def _(s):
 
 @case("c11_regional_office", ["waybill_waybill", "mapping_kanwil_area"], """
 WITH facts AS (SELECT w.waybill_no, w.update_time, w.sender_province_name AS p, k.kanwil_name AS o,
-    CASE w.sender_city_id % 6 WHEN 0 THEN 'TH' WHEN 1 THEN 'PDB' WHEN 2 THEN 'TH' WHEN 3 THEN 'MH' WHEN 4 THEN 'HQ' END AS l
+    CASE w.sender_city_id % 9 WHEN 0 THEN 'TH' WHEN 1 THEN 'PDB' WHEN 2 THEN 'TH' WHEN 3 THEN 'MH' WHEN 4 THEN 'HQ'
+         WHEN 5 THEN 'Outlet' WHEN 6 THEN 'Aggregator' WHEN 7 THEN 'Agent' END AS l
   FROM waybill_waybill w LEFT JOIN mapping_kanwil_area k ON k.province_name = w.sender_province_name)
 SELECT waybill_no, update_time, CASE
-    WHEN l IN ('MH', 'HQ') THEN l
+    WHEN l IN ('MH', 'HQ', 'Outlet', 'Aggregator', 'Agent') THEN l
     WHEN l IS NULL THEN NULL
     WHEN o LIKE 'SUMATERA%' THEN CASE o WHEN 'SUMATERA BAGIAN UTARA' THEN 'Sumbagut' ELSE 'Sumbagsel' END
     WHEN p = 'DKI JAKARTA' THEN 'Jakarta' WHEN p = 'BANTEN' THEN 'Tangerang'
@@ -208,8 +209,9 @@ def _(s):
     offices = s["mapping_kanwil_area"].withColumnsRenamed(
         {"province_name": "sender_province_name", "kanwil_name": "office_name"}
     )
-    level = col("sender_city_id") % 6
+    level = col("sender_city_id") % 9
     kind = F.when(level.isin(0, 2), "TH").when(level == 1, "PDB").when(level == 3, "MH").when(level == 4, "HQ")
+    kind = kind.when(level == 5, "Outlet").when(level == 6, "Aggregator").when(level == 7, "Agent")
     named = c.regional_office(kind, col("office_name"), col("sender_province_name"))
     return waybills(s).join(offices, "sender_province_name", "left").select(*ID, named.alias("office"))
 
