@@ -170,16 +170,10 @@ def city_zone(province: Column | None, city: Column, scheme: str) -> Column:
 def regional_office(branch_level: Column, office: Column, province: Column) -> Column:
     """Short office name of a branch. Field branches go by office or province, the others by level."""
     in_field = branch_level.isin(*rules.FIELD_LEVELS)
-    first = [(office == name, rules.OFFICE_SHORT_NAMES[name]) for name in rules.OFFICES_BEFORE_PROVINCE]
-    middle = [(province == name, short) for name, short in rules.PROVINCE_SHORT_NAMES.items()]
-    rest = [
-        (office == name, short)
-        for name, short in rules.OFFICE_SHORT_NAMES.items()
-        if name not in rules.OFFICES_BEFORE_PROVINCE
-    ]
+    sides = {"office": office, "province": province}
     chain = F.when(branch_level.isin(*rules.OTHER_LEVELS), branch_level)
-    for condition, short in first + middle + rest:
-        chain = chain.when(in_field & condition, short)
+    for side, name, short in rules.OFFICE_RULES:
+        chain = chain.when(in_field & (sides[side] == name), short)
     return chain
 
 

@@ -137,21 +137,20 @@ OUTER_PROVINCES = (
     "LAMPUNG", "BENGKULU", "JAMBI", "KEP. BANGKA BELITUNG",
 )
 
-# Regional office short names. Within field branches a province name wins over the
-# office name only for the two provinces below.
+# Regional office short names of field branches. The first line that fits counts.
 FIELD_LEVELS = ("TH", "PDB")
-OFFICE_SHORT_NAMES = {
-    "SUMATERA BAGIAN UTARA": "Sumbagut",
-    "SUMATERA BAGIAN SELATAN": "Sumbagsel",
-    "JAWA BARAT": "Jabar",
-    "JAWA TENGAH": "Jawa Tengah",
-    "JAWA TIMUR": "Jawa Timur",
-    "KALIMANTAN": "Kalimantan",
-    "SULAWESI": "Sulawesi",
-    "3PL": "3PL",
-}
-PROVINCE_SHORT_NAMES = {"DKI JAKARTA": "Jakarta", "BANTEN": "Tangerang"}
-OFFICES_BEFORE_PROVINCE = ("SUMATERA BAGIAN UTARA", "SUMATERA BAGIAN SELATAN")
+OFFICE_RULES = (
+    ("office", "SUMATERA BAGIAN UTARA", "Sumbagut"),
+    ("office", "SUMATERA BAGIAN SELATAN", "Sumbagsel"),
+    ("province", "DKI JAKARTA", "Jakarta"),
+    ("province", "BANTEN", "Tangerang"),
+    ("office", "JAWA BARAT", "Jabar"),
+    ("office", "JAWA TENGAH", "Jawa Tengah"),
+    ("office", "JAWA TIMUR", "Jawa Timur"),
+    ("office", "KALIMANTAN", "Kalimantan"),
+    ("office", "SULAWESI", "Sulawesi"),
+    ("office", "3PL", "3PL"),
+)
 OTHER_LEVELS = ("MH", "Outlet", "Aggregator", "HQ", "Agent")
 
 # Branch name prefixes.

@@ -253,14 +253,12 @@ def _(s):
 
 
 def office_sql(level: str, office: str, province: str) -> str:
-    """Regional office as a search through the name tables, most specific rule first."""
-    field = f"{level} IN {in_list(rules.FIELD_LEVELS)}"
-    offices = " ".join(f"WHEN '{n}' THEN '{v}'" for n, v in rules.OFFICE_SHORT_NAMES.items())
-    provinces = " ".join(f"WHEN '{n}' THEN '{v}'" for n, v in rules.PROVINCE_SHORT_NAMES.items())
-    southern = f"{office} IN {in_list(rules.OFFICES_BEFORE_PROVINCE)}"
+    """Regional office of a field branch: the first line of the table that fits its office or province."""
+    lines = " ".join(
+        f"WHEN {office if side == 'office' else province} = '{name}' THEN '{short}'" for side, name, short in rules.OFFICE_RULES
+    )
     return (
-        f"CASE WHEN {field} AND {southern} THEN CASE {office} {offices} END "
-        f"WHEN {field} THEN coalesce(CASE {province} {provinces} END, CASE {office} {offices} END) "
+        f"CASE WHEN {level} IN {in_list(rules.FIELD_LEVELS)} THEN CASE {lines} END "
         f"WHEN {level} IN {in_list(rules.OTHER_LEVELS)} THEN {level} END"
     )
 
