@@ -46,16 +46,13 @@ class Weights:
 
     def __init__(self, n: int, shingle: np.ndarray, df: np.ndarray, common: float):
         share = np.maximum(df / max(n, 1), common)
-        self.shingle = shingle
+        self.known = Known(shingle)
         self.idf = 1 + np.log(1 / share) / np.log(1 / common)
 
     def of(self, shingle: np.ndarray, count: np.ndarray) -> np.ndarray:
-        weight = np.full(len(shingle), 2.0)
-        if len(self.shingle):
-            at = np.searchsorted(self.shingle, shingle)
-            at[at == len(self.shingle)] = 0
-            known = self.shingle[at] == shingle
-            weight[known] = self.idf[at[known]]
+        weight = np.full(len(shingle), Sampler.USUAL)
+        place, at = self.known.find(shingle)
+        weight[place] = self.idf[at]
         return weight * count
 
 
@@ -71,35 +68,70 @@ class Sampler:
     """Improved consistent weighted sampling (Ioffe, 2010). Each sample picks the shingle with the least
     c / (y * exp(r)), y = exp(r * (t - beta)), t = floor(ln w / r + beta), where r and c are Gamma(2, 1) and beta is
     uniform, all fixed per shingle and sample; the sample is the pair (shingle, t). Two texts agree in a sample with
-    their weighted Jaccard similarity. The variables come from tables that a hash of the shingle indexes."""
+    their weighted Jaccard similarity. The variables come from tables that a hash of the shingle indexes; for the
+    weight that most shingles have, that of a rare one that occurs once, the whole value is tabled."""
+
+    USUAL = 2.0
 
     def __init__(self, samples: int, seed: int):
         draw = np.random.default_rng(seed)
         size = 1 << _TABLE_BITS
-        r = draw.gamma(2.0, 1.0, size)
-        self.r, self.by_r = r, 1 / r
+        self.r = draw.gamma(2.0, 1.0, size)
+        self.by_r = 1 / self.r
         self.beta = draw.random(size)
-        self.least = np.log(draw.gamma(2.0, 1.0, size)) - r
+        self.least = np.log(draw.gamma(2.0, 1.0, size)) - self.r
         self.odd = draw.integers(0, 1 << 63, samples, np.uint64) * np.uint64(2) + np.uint64(1)
+        self.usual = self._value(np.arange(size), np.log(self.USUAL))
+
+    def _steps(self, at: np.ndarray, log: np.ndarray | float) -> np.ndarray:
+        return np.floor(log * self.by_r[at] + self.beta[at])
+
+    def _value(self, at: np.ndarray, log: np.ndarray | float) -> np.ndarray:
+        return (self.least[at] - self.r[at] * (self._steps(at, log) - self.beta[at])).astype(np.float32)
 
     def of(self, shingle: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """A hash of each sample of a text with at least one shingle."""
-        log = np.log(weight)[:, None]
-        best_value = np.full(len(self.odd), np.inf)
-        best = np.zeros(len(self.odd), np.uint64)
+        log = np.log(weight)
+        sample = np.arange(len(self.odd))
+        best_value = np.full(len(self.odd), np.inf, np.float32)
+        best = np.zeros(len(self.odd), np.int64)
         for start in range(0, len(shingle), 4096):
-            part = shingle[start : start + 4096]
-            at = ((part[:, None] * self.odd) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
-            beta = self.beta[at]
-            t = np.floor(log[start : start + 4096] * self.by_r[at] + beta)
-            value = self.least[at] - self.r[at] * (t - beta)
-            low = value.argmin(axis=0)
-            column = np.arange(len(self.odd))
-            value = value[low, column]
+            part = slice(start, start + 4096)
+            place = self.odd[:, None] * shingle[part]
+            place >>= np.uint64(64 - _TABLE_BITS)
+            at = place.view(np.int64)
+            value = self.usual.take(at, mode="clip")
+            other = np.flatnonzero(weight[part] != self.USUAL)
+            if len(other):
+                value[:, other] = self._value(at[:, other], log[part][other])
+            low = value.argmin(axis=1)
+            value = value[sample, low]
             better = value < best_value
-            sample = words.mixed(part[low] + t[low, column].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            best[better], best_value[better] = sample[better], value[better]
-        return best
+            best[better], best_value[better] = low[better] + start, value[better]
+        at = ((self.odd * shingle[best]) >> np.uint64(64 - _TABLE_BITS)).view(np.int64)
+        steps = self._steps(at, log[best]).astype(np.int64).view(np.uint64)
+        return words.mixed(shingle[best] + steps * np.uint64(0x9E3779B97F4A7C15))
+
+
+class Known:
+    """Which of many shingles are in a sorted list: a bit table sorts out most of those that are not."""
+
+    _BITS = 20
+
+    def __init__(self, shingle: np.ndarray):
+        self.shingle = shingle
+        self.table = np.zeros(1 << self._BITS, bool)
+        self.table[shingle >> np.uint64(64 - self._BITS)] = True
+
+    def find(self, shingle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``shingle`` of those listed, and their places in the list."""
+        likely = np.flatnonzero(self.table[(shingle >> np.uint64(64 - self._BITS)).view(np.int64)])
+        if not len(likely):
+            return likely, likely
+        at = np.searchsorted(self.shingle, shingle[likely])
+        at[at == len(self.shingle)] = 0
+        same = self.shingle[at] == shingle[likely]
+        return likely[same], at[same]
 
 
 def _rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -115,7 +147,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int,
     """(documents, shingles of each of them) of about two million shingles."""
     docs, held, count = 0, [], 0
     for batch in batches:
-        for text in batch.column(0).to_pylist():
+        for text in words.each(batch.column(0)):
             own, _ = shingles(text, size)
             docs, count = docs + 1, count + len(own)
             held.append(own)
@@ -162,11 +194,9 @@ def common_shingles(rows: DataFrame, n: int, settings: Settings) -> tuple[np.nda
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        total = np.zeros(len(own), np.int64)
+        known, total = Known(own), np.zeros(len(own), np.int64)
         for _, held in _blocks(batches, size):
-            at = np.searchsorted(own, held)
-            at[at == len(own)] = 0
-            total += np.bincount(at[own[at] == held], minlength=len(own))
+            total += np.bincount(known.find(held)[1], minlength=len(own))
         seen = total > 0
         yield pa.RecordBatch.from_arrays([pa.array(words.signed(own[seen])), pa.array(total[seen])], names=["shingle", "n"])
 
@@ -182,7 +212,7 @@ def common_shingles(rows: DataFrame, n: int, settings: Settings) -> tuple[np.nda
 
 
 def _sketched(rows: DataFrame, weights, settings: Settings) -> DataFrame:
-    """(doc, tid, bands): a hash per band; none for a text without words."""
+    """(doc, tid, bands): a hash per band, then one per pair of neighbouring bands; none for a text without words."""
     width = settings.rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +220,7 @@ def _sketched(rows: DataFrame, weights, settings: Settings) -> DataFrame:
         places = np.arange(settings.bands).astype(np.uint64)
         for batch in batches:
             bands = []
-            for text in batch.column(2).to_pylist():
+            for text in words.each(batch.column(2)):
                 shingle, count = shingles(text, settings.shingle)
                 if not len(shingle):
                     bands.append([])
@@ -199,7 +229,7 @@ def _sketched(rows: DataFrame, weights, settings: Settings) -> DataFrame:
                 key = places
                 for column in samples.T:
                     key = words.mixed(key * np.uint64(0x9E3779B97F4A7C15) + column)
-                bands.append(words.signed(key))
+                bands.append(words.signed(np.concatenate([key, words.mixed(key + np.roll(key, -1))])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64()))], names=["doc", "tid", "bands"]
             )
@@ -239,7 +269,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights, settings: Settings) -
 def _packed(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [zlib.compress(text.encode(), 2) for text in batch.column(2).to_pylist()]
+            packed = [zlib.compress(text.encode(), 2) for text in words.each(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["doc", "tid", "packed"]
             )
@@ -253,8 +283,9 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
 
     Equal texts are one node. In each band's bucket one member is drawn as leader, by a hash that differs from band
     to band, and every other member is compared with it: pairs grow with the members of a bucket, never with their
-    square, so buckets need no cap; texts of a group meet many leaders, and chains of links join them. Whatever meets
-    is verified on whole texts. Leaders come from an aggregation that is reduced on the map side, and are joined
+    square, so buckets need no cap; texts of a group meet many leaders, and chains of links join them. Where unlike
+    texts fill a bucket, those that share the next band as well form a bucket of their own with its own leader.
+    Whatever meets is verified on whole texts. Leaders come from an aggregation that is reduced on the map side, and are joined
     back by a plain join that AQE can split where a bucket is hot.
 
     A null text belongs to no class but its own. Texts without words have only their equals. A class of null ids
