@@ -8,11 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, chat, embeddings, neardup, packing, quality, secrets, sharding, substrings, warc
+from parcelspark.llm import bpe, chat, embeddings, neardup, oracles, packing, quality, secrets, sharding, substrings, warc
 from parcelspark.llm.common import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_quality_rules": oracles.QUALITY,
+    "op3_embedding_neardup": oracles.EMBEDDINGS,
+    "op5_chat_format": oracles.CHAT,
+    "op7_warc_index": oracles.WARC,
+    "op10_substring_dedup": oracles.SUBSTRINGS,
+}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -83,7 +89,7 @@ def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc.write_archives(pages, path, F.timestamp_seconds(F.pmod("page_id", F.lit(10**9))))
     return warc.merged_index(warc.read_archives(spark, path)).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "range", "position"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 
 

@@ -8,6 +8,7 @@ import pytest
 
 import corpus_pipeline
 import __spark_entry__ as driver
+from check import compare, duck
 from parcelspark.llm import queries
 
 SF = "/root/testdata/sf0.001"
@@ -68,6 +69,13 @@ def test_stages_take_an_empty_table(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
-@pytest.mark.parametrize("name", sorted([*queries.QUERIES, "pipeline"]))
+@pytest.mark.parametrize("name", sorted({*queries.QUERIES, "pipeline"} - set(queries.ORACLES)))
 def test_queries_run_on_the_smallest_folder(spark, name):
     assert driver.queries()[name](spark, SF).count() > 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_same_rows_as_duckdb(spark, name):
+    same, note = compare(spark, duck(SF), SF, queries.QUERIES[name], queries.ORACLES[name])
+    assert same, note
