@@ -163,13 +163,19 @@ def scan_neighbours(
     ordinary, hot = split_hot_keys(scans, key, hot_rows)
     ordinary = _neighbours(ordinary, Window.partitionBy(key).orderBy(*ascending), stop, time, kind)
 
+    # Scans without a time come first and are in the order of the tie-break, so its leading text names their slices,
+    # behind a character that sorts before any digit; a missing text comes before all.
+    timeless = F.lit("")
+    if tie and isinstance(scans.schema[tie[0]].dataType, T.StringType):
+        timeless = F.coalesce(F.concat(F.lit("\u0001"), F.substring(tie[0], 1, 12)), F.lit(""))
+
     # NULL keys and times get stand-in values here, so window and join share one hash partitioning.
     slice_cols = ["_key_text", "_key_null", "_slice"]
     sliced = hot.withColumns(
         {
             "_key_text": F.coalesce(F.col(key).cast("string"), F.lit("")),
             "_key_null": F.col(key).isNull(),
-            "_slice": F.coalesce(F.substring(F.col(time).cast("string"), 1, SLICE_LENGTHS[slice_unit]), F.lit("")),
+            "_slice": F.coalesce(F.substring(F.col(time).cast("string"), 1, SLICE_LENGTHS[slice_unit]), timeless),
         }
     )
     in_slice = Window.partitionBy(*slice_cols).orderBy(*ascending)

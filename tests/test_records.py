@@ -93,6 +93,15 @@ def test_neighbours_are_the_same_whichever_way_a_key_goes(spark, hot_rows, unit)
     assert {x.id: tuple(x[c] for c in r.NEIGHBOUR_COLUMNS) for x in got} == brute_neighbours(rows)
 
 
+def test_scans_without_a_time_are_split_by_the_leading_text_of_the_tie_break(spark):
+    random.seed(12)
+    tags = random.sample(range(10_000), 300)
+    rows = [("hot", None if i % 3 else datetime(2024, 1, 1 + i % 2), f"S{i % 9}", "in", f"{tag:05d}") for i, tag in enumerate(tags)]
+    shape = T.StructType.fromDDL("k string, t timestamp_ntz, stop string, kind string, tag string")
+    got = r.scan_neighbours(spark.createDataFrame(rows, shape), "k", "t", "stop", "kind", tie=["tag"], hot_rows=0).collect()
+    assert {x.tag: tuple(x[c] for c in r.NEIGHBOUR_COLUMNS) for x in got} == brute_neighbours(rows)
+
+
 def test_attempts_share_a_rank_and_leave_a_gap(spark):
     df = spark.createDataFrame(
         [("a", 1, "p"), ("a", 1, "q"), ("a", 5, "s"), ("a", 7, "t"), ("b", 2, None), ("c", 1, "x"), ("c", 2, "y"), ("c", 3, "z")],
