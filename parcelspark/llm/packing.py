@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from parcelspark.llm.common import cols, dropped, free, others, stored
 
 # Chunks of text that a worker keeps with their ids; a full cache is emptied, which costs time only.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 700_000
 
 
 class Chunks:

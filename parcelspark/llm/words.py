@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 # Words a worker remembers with their hashes; a full memory is emptied, which costs time only.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 100_000
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
