@@ -190,15 +190,15 @@ def judged(counted: DataFrame, lang: str = "lang", source: str = "source") -> Da
     It is written to the shared folder once, with whatever columns it still has, since it is read twice: documents
     that pass the base rules feed the sketches of their language and source; then each document is joined with the
     thresholds of its group (null languages and sources are groups like others) and kept if every measure lies
-    within them. The thresholds table has one row per group, so Spark may broadcast it by its own size check; else a
-    hot group's rows are split by AQE. No threshold depends on row order or partitioning. An empty table stays
+    within them. The thresholds table has one row per group and is written first, so that Spark knows its size when
+    it plans the join and broadcasts it if it is small; else a hot group's rows are split by AQE. No threshold depends on row order or partitioning. An empty table stays
     empty; input columns named like an added column are replaced.
     """
     kept = others(counted, "counts", "base_failed", "kept")
     rows = stored(counted.select(*cols(kept), "counts"), "counted")
     good = rows.where(~base_failed()).select(F.col(lang).alias("lang"), F.col(source).alias("source"), "counts")
     its_lang, its_source, its_bounds = (free(rows, c) for c in ("_lang", "_source", "_bounds"))
-    bounds = thresholds(sketches(good, "lang", "source")).select(
+    bounds = stored(thresholds(sketches(good, "lang", "source")), "bounds").select(
         F.col("lang").alias(its_lang), F.col("source").alias(its_source), F.col("bounds").alias(its_bounds)
     )
     joined = rows.join(
