@@ -16,6 +16,7 @@ from parcelspark.llm.common import cols, components, dropped, free, quoted, stor
 
 _TABLE_BITS = 16
 _BLOCK_SHINGLES = 2_000_000
+_SLOT_BITS = 20
 
 
 @dataclass(frozen=True)
@@ -277,15 +278,113 @@ def _packed(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc long, tid binary, packed binary")
 
 
+def _tally(texts: DataFrame, settings: Settings) -> np.ndarray:
+    """How many of ``texts`` hold a shingle, in a table of fixed size indexed by its leading bits. Shingles that share
+    a slot count for each other, so a count is never too small."""
+    size, slots = settings.shingle, 1 << _SLOT_BITS
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([zlib.decompress(packed) for packed in batch.column(0).to_pylist()], pa.binary())], names=["text"]
+            )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(slots, np.int64)
+        for _, held in _blocks(unpacked(batches), size):
+            total += np.bincount((held >> np.uint64(64 - _SLOT_BITS)).view(np.int64), minlength=slots)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["slot", "n"])
+
+    counted = (
+        texts.select("packed").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    )
+    table = np.zeros(slots, np.int64)
+    table[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
+    return table
+
+
+def _prefixes(texts: DataFrame, tally, weights, settings: Settings) -> DataFrame:
+    """(shingle, tid, class, total): of each text the rarest shingles, as far as all others weigh less than
+    ``similarity`` of its total weight. Shared shingles of two texts that are as similar as asked for weigh no less
+    than that, and all texts are read in one order, so two such texts have a shingle of both prefixes in common.
+    Shingles that no other text holds are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, holders = weights.value, tally.value
+        for batch in batches:
+            for tid, group, packed in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                shingle, count = shingles(zlib.decompress(packed), settings.shingle)
+                weight = own.of(shingle, count)
+                held = holders[(shingle >> np.uint64(64 - _SLOT_BITS)).view(np.int64)]
+                order = np.lexsort((shingle, held))
+                upto, total = np.cumsum(weight[order]), float(weight.sum())
+                end = np.searchsorted(upto, total - settings.similarity * total * (1 - 1e-9), side="right") + 1
+                order = order[:end]
+                order = order[held[order] > 1]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(words.signed(shingle[order])),
+                        pa.array([tid] * len(order), pa.binary()),
+                        pa.array([group] * len(order), pa.binary()),
+                        pa.array(np.full(len(order), total)),
+                    ],
+                    names=["shingle", "tid", "class", "total"],
+                )
+
+    return texts.select("tid", "class", "packed").mapInArrow(
+        run, "shingle long, tid binary, class binary, total double"
+    )
+
+
+def _left_over(met: DataFrame, component: DataFrame) -> DataFrame:
+    """(tid, class) of the texts in buckets of three and more whose members are not all in one class yet."""
+    crowd = met.where("size > 2").join(component, "tid", "left").withColumn("class", F.coalesce("component", "tid"))
+    parted = (
+        crowd.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+        .where("low <> high").select("bucket")
+    )
+    return crowd.join(parted, "bucket").select("tid", "class").distinct()
+
+
+def _rest_pairs(texts: DataFrame, weights, settings: Settings) -> DataFrame:
+    """(a, b), a < b: every pair of ``texts`` (tid, class, packed) of two classes that may be as similar as asked for,
+    by a prefix filter. Where a shingle's holders are mostly of one class, only the others are paired with all, so
+    pairs do not grow with the square of that class."""
+    tally = texts.sparkSession.sparkContext.broadcast(_tally(texts, settings))
+    prefixes = stored(_prefixes(texts, tally, weights, settings), "prefixes")
+    mixed = (
+        prefixes.groupBy("shingle", "class").agg(F.count("*").alias("n"))
+        .groupBy("shingle").agg(F.max(F.struct("n", "class")).alias("top"), F.count("*").alias("classes"))
+        .where("classes > 1").select("shingle", F.col("top.class").alias("top"))
+    )
+    held = stored(prefixes.join(mixed, "shingle"), "held")
+    dropped(prefixes)
+    few = held.where("class <> top").select(
+        "shingle", F.col("tid").alias("t"), F.col("class").alias("c"), F.col("total").alias("w")
+    )
+    least = settings.similarity * (1 - 1e-9)
+    return (
+        few.join(held, "shingle")
+        .where("c <> class AND (class = top OR t < tid)")
+        .where(F.least("w", "total") >= least * F.greatest("w", "total"))
+        .select(F.least("t", "tid").alias("a"), F.greatest("t", "tid").alias("b"))
+        .distinct()
+    )
+
+
 def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """A row per row of ``df``: ``doc_id``, ``tid`` (MD5 of the text), ``class_id`` (the smallest id among texts that
     verified links connect) and ``kept`` (whether the row has this id).
 
     Equal texts are one node. In each band's bucket one member is drawn as leader, by a hash that differs from band
-    to band, and every other member is compared with it: pairs grow with the members of a bucket, never with their
-    square, so buckets need no cap; texts of a group meet many leaders, and chains of links join them. Where unlike
-    texts fill a bucket, those that share the next band as well form a bucket of their own with its own leader.
-    Whatever meets is verified on whole texts. Leaders come from an aggregation that is reduced on the map side, and are joined
+    to band, and every other member is compared with it; texts of a group meet many leaders, and chains of links join
+    them. Where unlike texts fill a bucket, those that share the next band as well form a bucket of their own with its
+    own leader. Buckets whose members are not in one class after that are settled exactly: a prefix filter over the
+    weighted shingles of their texts finds every pair of two classes that can be similar enough, and no bucket has a
+    cap. So texts that meet in a bucket and are as similar as asked for always end up in one class. Pairs grow with
+    the members of a bucket, and with their square only where texts of different classes share most of their weight.
+    Whatever is paired is verified on whole texts. Leaders come from an aggregation that is reduced on the map side, and are joined
     back by a plain join that AQE can split where a bucket is hot.
 
     A null text belongs to no class but its own. Texts without words have only their equals. A class of null ids
@@ -303,11 +402,10 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
         members.groupBy("bucket")
         .agg(F.min(F.struct(F.xxhash64("tid", "bucket").alias("draw"), "tid")).alias("lead"), F.count("*").alias("size"))
         .where("size > 1")
-        .select("bucket", F.col("lead.tid").alias("b"))
-    )
-    pairs = stored(
-        members.join(leaders, "bucket").where("tid <> b").select(F.col("tid").alias("a"), "b").distinct(), "pairs"
+        .select("bucket", F.col("lead.tid").alias("b"), "size")
     )
+    met = stored(members.join(leaders, "bucket"), "met")
+    pairs = stored(met.where("tid <> b").select(F.col("tid").alias("a"), "b").distinct(), "pairs")
     involved = nodes.join(
         pairs.select(F.col("a").alias("tid")).union(pairs.select(F.col("b").alias("tid"))).distinct(), "tid"
     ).select(F.col("tid").alias("t"), F.col("doc").alias("d"))
@@ -319,11 +417,24 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
         "texts",
     )
     links = stored(_verified(pairs, texts, weights, settings), "links")
+    component = stored(components(links).select(F.col("node").alias("tid"), "component"), "components")
+    joined = nodes.select("tid", "doc").join(component, "tid", "left").withColumn("class", F.coalesce("component", "tid"))
+    left = stored(_left_over(met, component), "left")
+    dropped(met)
+    if not left.isEmpty():
+        seen = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        rest = stored(_rest_pairs(texts.join(left, "tid"), weights, settings).join(seen, ["a", "b"], "left_anti"), "rest")
+        merged = (
+            _verified(rest, texts, weights, settings)
+            .join(left.select(F.col("tid").alias("a"), F.col("class").alias("x")), "a")
+            .join(left.select(F.col("tid").alias("b"), F.col("class").alias("y")), "b")
+            .select(F.col("x").alias("a"), F.col("y").alias("b"))
+        )
+        joined = joined.join(
+            components(merged).select(F.col("node").alias("class"), F.col("component").alias("whole")), "class", "left"
+        ).select("tid", "doc", F.coalesce("whole", "class").alias("class"))
     dropped(pairs)
     dropped(texts)
-    joined = nodes.select("tid", "doc").join(
-        components(links).select(F.col("node").alias("tid"), "component"), "tid", "left"
-    ).withColumn("class", F.coalesce("component", "tid"))
     named = joined.groupBy("class").agg(F.min("doc").alias("class_id"))
     class_of = joined.join(named, "class").select(F.col("tid").alias("t"), "class_id")
     own = df.select(

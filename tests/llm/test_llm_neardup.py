@@ -59,6 +59,23 @@ def test_classes_equal_all_pairs(spark):
     assert all(kept == (d == c) for d, (c, kept) in found.items())
 
 
+def test_similar_texts_in_buckets_full_of_unlike_ones_are_linked(spark):
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(6))
+    template, docs = [word() for _ in range(80)], []
+    for i in range(400):
+        docs.append((i, " ".join(template + [word() for _ in range(8)])))
+    for i in range(1000, 1120, 2):
+        own = [word() for _ in range(8)]
+        docs.append((i, " ".join(template + own)))
+        docs.append((i + 1, " ".join(template + own[:3] + [word() for _ in range(5)])))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r.class_id for r in neardup.classes(df).collect()}
+    want = brute.near_classes(docs)
+    assert all(want[i + 1] == i for i in range(1000, 1120, 2)) and want[5] == 5
+    assert found == want
+
+
 def test_common_shingles_are_counted_exactly(spark):
     draw = random.Random(4)
     docs = [f"in every document these words {draw.random()}" + (" and now and then these too" if i % 20 == 0 else "") for i in range(400)]
