@@ -17,19 +17,29 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
-# Character classes of candidates, the first that holds the whole string: name, pattern, window, least bits a
-# character, and what the string must hold so that words, numbers and paths stay.
+# Character classes of candidates, the first that fits: name, pattern of the whole string, window, least bits a
+# character, and what the string must hold. Where digits or a case are missing, words, paths and names in code look
+# alike, so these classes ask for more bits.
 CLASSES = (
     ("hex", r"^[0-9A-Fa-f]+$", 24, 2.9, r"^(?=.*[0-9])(?=.*[A-Fa-f])"),
+    ("short hex", r"^[0-9A-Fa-f]+$", 20, 2.85, r"^(?=.*[0-9])(?=.*[A-Fa-f])"),
     ("alphanumeric", r"^[0-9A-Za-z]+$", 20, 3.5, r"^(?=(?:.*[0-9]){2})(?=.*[A-Za-z])"),
     ("token", r"^[0-9A-Za-z+/_=-]+$", 20, 3.6, r"^(?=(?:.*[0-9]){2})(?=.*[A-Z])(?=.*[a-z])"),
+    ("few digits", r"^[0-9A-Za-z+/_=-]+$", 20, 3.9, r"^(?=.*[A-Z])(?=.*[a-z])"),
+    ("letters of one case", r"^[0-9A-Za-z]+$", 20, 3.75, r"[A-Za-z]"),
+    ("token of one case", r"^[0-9A-Za-z+/_=-]+$", 20, 3.9, r"[A-Za-z]"),
 )
 # Never reported by entropy: UUIDs, published sample keys, runs of the alphabet or of digits, data that only repeats.
-ALLOW = (
-    r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
-    r"(?i)example|sample|dummy|placeholder|your[_-]?key",
-    r"(?i)abcdefghij|0123456789|1234567890",
-    r"(.{1,8})\1\1\1",
+# These parts are cut out of a candidate; what is left of it is judged. A sample word takes the letters and digits
+# it is attached to.
+ALLOW = "|".join(
+    (
+        r"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+        r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Fa-f])",
+        r"(?<![0-9A-Za-z])[0-9A-Za-z]*?(?i:example|sample|dummy|placeholder|your[_-]?key)[0-9A-Za-z]*+",
+        r"(?i:abcdefghij(?:klmnopqrstuvwxyz)?)|0123456789|1234567890",
+        r"(.{1,8})\1{3,}+",
+    )
 )
 
 
@@ -140,28 +150,46 @@ def dense_part(candidate: Column, window: int, bits: float) -> Column:
     )
 
 
+def _unlisted(candidate: Column) -> Column:
+    """(start, found) of the parts of a candidate that the allow-list leaves."""
+    shape = "array<struct<start:int,found:string>>"
+
+    def parts(allowed: Column) -> Column:
+        ends = F.concat(F.array(F.lit(0)), F.transform(allowed, lambda m: m["end"]))
+        starts = F.concat(F.transform(allowed, lambda m: m["start"]), F.array(F.length(candidate)))
+        return F.transform(
+            F.arrays_zip(ends.alias("low"), starts.alias("high")),
+            lambda p: F.struct(
+                p["low"].alias("start"), F.substring(candidate, p["low"] + 1, p["high"] - p["low"]).alias("found")
+            ),
+        ).cast(shape)
+
+    return let(matches(candidate, ALLOW), parts)
+
+
 def _entropy_spans(text: Column) -> Column:
-    """(start, end) of dense candidates that no allow-list entry names."""
+    """(start, end) of dense candidates, without the parts that an allow-list entry names."""
 
     def dense(found: Column) -> Column:
         verdict = F.lit(None).cast("struct<start:int,end:int>")
         for _, whole, window, bits, holds in reversed(CLASSES):
-            verdict = F.when(
-                found.rlike(whole),
-                F.when(found.rlike(holds) & (F.length(found) >= window), dense_part(found, window, bits)),
-            ).otherwise(verdict)
-        for allowed in ALLOW:
-            verdict = F.when(found.rlike(allowed), F.lit(None).cast("struct<start:int,end:int>")).otherwise(verdict)
+            fits = (F.length(found) >= window) & found.rlike(whole) & found.rlike(holds)
+            verdict = F.when(fits, dense_part(found, window, bits)).otherwise(verdict)
         return verdict
 
-    placed = F.transform(
-        matches(text, CANDIDATE),
-        lambda m: let(
-            dense(m["found"]),
-            lambda part: F.struct((m["start"] + part["start"]).alias("start"), (m["start"] + part["end"]).alias("end")),
-        ),
-    )
-    return F.filter(placed, lambda m: m["start"].isNotNull())
+    def placed(m: Column) -> Column:
+        return F.transform(
+            _unlisted(m["found"]),
+            lambda u: let(
+                dense(u["found"]),
+                lambda part: F.struct(
+                    (m["start"] + u["start"] + part["start"]).alias("start"),
+                    (m["start"] + u["start"] + part["end"]).alias("end"),
+                ),
+            ),
+        )
+
+    return F.filter(F.flatten(F.transform(matches(text, CANDIDATE), placed)), lambda m: m["start"].isNotNull())
 
 
 def _kind(spans: Column, rank: int) -> Column:

@@ -43,6 +43,22 @@ def test_entropy_adds_random_keys_and_leaves_words_and_allowed_strings(spark):
     assert found[7].all == "assign:0:29"
 
 
+def test_entropy_decides_without_digits_or_upper_case_and_beside_allowed_parts(spark):
+    draw = random.Random(12)
+    made = lambda of, n: "".join(draw.sample(of, n))
+    letters, mixed = "bcdefghijklmnopqrstuvwxyz", "bcdefghijkmnopqrstuvwxyzBCDEFGHJKLMNPQRSTUVWXYZ"
+    keys = [made(mixed, 32), made(letters, 22), made(letters, 9) + "_" + made(letters, 12), made(mixed, 24) + "7"]
+    keys += ["3A9f0c71BD5e2846aF1c", "8" + (made(letters, 21) + "-")[::-1]]
+    texts = [f"see {k} here" for k in keys]
+    texts += [f"see sample/{KEY} here", f"see {KEY}/AAAA here", f"id=123e4567-e89b-12d3-a456-426614174000/{KEY}"]
+    texts += ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "id=123e4567-e89b-12d3-a456-426614174000", "A" * 300]
+    found = spans(spark, texts)
+    assert [found[i].all for i in range(len(keys))] == [f"entropy:4:{4 + len(k)}" for k in keys]
+    n = len(keys)
+    assert all(found[i].all.startswith("entropy:") for i in range(n, n + 3)), [found[i].all for i in range(n, n + 3)]
+    assert [found[i].all for i in range(n + 3, n + 6)] == [""] * 3
+
+
 def test_window_entropy_equals_a_plain_count(spark):
     from collections import Counter
     from math import log2
