@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import bpe, chat, embeddings, neardup, oracles, packing, quality, secrets, sharding, substrings, warc
+from parcelspark.llm import (
+    bpe, chat, embeddings, neardup, negatives, oracles, packing, quality, secrets, sharding, substrings, warc,
+)
 from parcelspark.llm.common import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +20,7 @@ ORACLES: dict[str, str] = {
     "op5_chat_format": oracles.CHAT,
     "op7_warc_index": oracles.WARC,
     "op10_substring_dedup": oracles.SUBSTRINGS,
+    "op12_hard_negatives": oracles.NEGATIVES,
 }
 
 
@@ -135,3 +138,11 @@ def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors at a cosine of 0.93 within their label."""
     return embeddings.linked(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector; every seventh carries the next label instead of its own."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(rows, F.col("id") % 50 == 0, label)
