@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelspark.llm import (
-    bpe, chat, embeddings, neardup, negatives, oracles, packing, quality, secrets, sharding, substrings, warc,
+    alignment, bpe, chat, embeddings, langid, neardup, negatives, oracles, packing, quality, secrets, sharding,
+    substrings, warc,
 )
 from parcelspark.llm.common import new_path
 
@@ -146,3 +147,24 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mined(rows, F.col("id") % 50 == 0, label)
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text in two tokenizers, their groups, and how often the linked ids are linked in all texts."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    byte_level, pieces = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.aligned(documents, byte_level, pieces, groups=False)
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Whether a document's language is never learned from: every fifth by a checksum, and those without an id."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(True))
+
+
+@query
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text by a model that has seen no held-out document."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.learned(documents, ~held_out())
+    return langid.identified(documents.select("doc_id", "text", held_out().alias("held_out")), model)
