@@ -9,7 +9,6 @@ keeps one row per parcel anyway.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +16,9 @@ from pyspark.sql import functions as F
 from parcelspark.functions import rules
 from parcelspark.functions.classify import courier_status, regional_office
 from parcelspark.functions.timeops import AsOf, rolling_window
-from parcelspark.operators.records import HOT_ROWS, hot_keys, one_record, split_hot_keys
+from parcelspark.operators import skew
+from parcelspark.operators.records import one_record
+from parcelspark.operators.skew import HOT_ROWS, heavy_keys, parted
 
 
 def lookup(
@@ -126,15 +127,15 @@ def scans_before_return(
 
     Returns are reduced to the newest confirmation per parcel first, so scans are not multiplied. AQE
     cannot split a skewed join whose other side is such a reduction, so scans of parcels with more than
-    ``hot_rows`` scans stay where they are and meet a broadcast of those few parcels' confirmations.
+    ``hot_rows`` scans stay where they are and meet a broadcast of those parcels' confirmations, of which there are at
+    most as many as the sketch lists.
     """
     confirmed = returns.groupBy(F.col(key).alias("_return_key")).agg(F.max(confirm_time).alias(confirm_time))
     before = F.col(scan_time) <= F.col(confirm_time) if inclusive else F.col(scan_time) < F.col(confirm_time)
     match = (F.col(key) == F.col("_return_key")) & before
-    ordinary, hot = split_hot_keys(scans, key, hot_rows)
-    few = confirmed.join(
-        F.broadcast(hot_keys(scans, key, hot_rows)), F.col("_return_key") == F.col("_hot_key"), "left_semi"
-    )
+    listed = heavy_keys(scans, key, hot_rows=hot_rows, nulls=True)
+    ordinary, hot = parted(scans, listed, key)
+    few = parted(confirmed, listed, "_return_key")[1]
     joined = ordinary.join(confirmed, match, "left").unionByName(hot.join(F.broadcast(few), match, "left"))
     return joined.drop("_return_key")
 
@@ -219,15 +220,29 @@ def branch_region(
 
 
 def manifest_match(
-    sheet: DataFrame, system: DataFrame, on: Mapping[str, str] | None = None
+    sheet: DataFrame, system: DataFrame, on: Mapping[str, str] | None = None, hot_rows: int | None = None
 ) -> DataFrame:
-    """Consignment sheet rows with the system rows of the same bag and vehicle; unmatched sheet rows stay."""
+    """Consignment sheet rows with the system rows of the same bag and vehicle; unmatched sheet rows stay.
+
+    A bag with more than ``hot_rows`` system rows is spread over many tasks; without ``hot_rows`` the join is a plain one.
+    """
     on = on or {"bm_code": "bag_no", "vm_code": "vehicle_tag_no"}
+    if hot_rows is not None:
+        return skew.left_join(sheet, system, on, hot_rows)
     return sheet.join(system, [F.col(s) == F.col(b) for s, b in on.items()], "left")
 
 
-def latest_status_join(spine: DataFrame, *sides: DataFrame, key: str = "waybill_no") -> DataFrame:
-    """Spine with several one-row-per-key results; all joins share the key, so the spine is shuffled once."""
-    return reduce(lambda left, right: left.join(right, key, "left"), sides, spine)
+def latest_status_join(
+    spine: DataFrame, *sides: DataFrame, key: str = "waybill_no", unreduced: Sequence[int] = (), hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Spine with several one-row-per-key results; all joins share the key, so the spine is shuffled once.
+
+    ``unreduced`` names the places of sides that may hold a key many times; those of more than ``hot_rows`` rows are
+    spread over many tasks.
+    """
+    rows = spine
+    for place, side in enumerate(sides):
+        rows = skew.left_join(rows, side, key, hot_rows) if place in unreduced else rows.join(side, key, "left")
+    return rows
 
 

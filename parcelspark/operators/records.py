@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelspark.functions.timeops import AsOf, joined_key, since
+from parcelspark.operators.skew import HOT_ROWS, heavy_keys, parted
 
 
 def _list(names: str | Sequence[str]) -> list[str]:
@@ -103,23 +104,9 @@ NEIGHBOUR_COLUMNS = (
 )
 
 
-HOT_ROWS = 2_000_000
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, as column ``_hot_key``.
-
-    At most (rows / hot_rows) keys can be this large, so the list may be broadcast at any table size.
-    """
-    counted = df.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.where(F.col("_n") > hot_rows).select("_hot_key")
-
-
 def split_hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys, and rows of hot keys. AQE drops the second side when no key is hot."""
-    hot = hot_keys(df, key, hot_rows)
-    is_hot = F.col(key).eqNullSafe(F.col("_hot_key"))
-    return df.join(F.broadcast(hot), is_hot, "left_anti"), df.join(F.broadcast(hot), is_hot, "left_semi")
+    return parted(df, heavy_keys(df, key, hot_rows=hot_rows, nulls=True), key)
 
 
 # Leading characters of "2024-01-31 12:34:56" that name a time slice; they sort as the times do.

@@ -15,6 +15,7 @@ from parcelspark.functions.timeops import (
 from parcelspark.operators.enrich import decode_option, hub_names, manifest_match
 from parcelspark.operators.records import latest_record, transport_label
 from parcelspark.operators.rollups import bag_totals
+from parcelspark.operators.skew import HOT_ROWS
 from parcelspark.sources.tables import Tables
 
 SHEET_COLUMNS = (
@@ -154,7 +155,8 @@ _WAYBILL_LEVEL = (
 )
 
 
-def smu_waybill_level(tables: Tables, system: DataFrame) -> DataFrame:
-    """Consignment sheet with every waybill of its bag, from the stage table of system bags."""
+def smu_waybill_level(tables: Tables, system: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Consignment sheet with every waybill of its bag, from the stage table of system bags. The waybills of a bag with
+    more than ``hot_rows`` are spread over many tasks."""
     waybills = system.select(*_WAYBILL_LEVEL).withColumnsRenamed({**_ORIGIN, **_DESTINATION})
-    return manifest_match(_sheet(tables), waybills)
+    return manifest_match(_sheet(tables), waybills, hot_rows=hot_rows)

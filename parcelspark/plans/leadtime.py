@@ -12,16 +12,18 @@ from parcelspark.functions.classify import (
 from parcelspark.functions.timeops import AsOf, local_time, rolling_window
 from parcelspark.operators.enrich import decode_option, latest_status_join, of_spine
 from parcelspark.operators.records import first_value, latest_value, scan_neighbours
+from parcelspark.operators.skew import HOT_ROWS, left_join
 from parcelspark.sources.tables import Tables
 
 
-def tokopedia_leadtime(tables: Tables, as_of: AsOf, *, days: int = 35) -> DataFrame:
+def tokopedia_leadtime(tables: Tables, as_of: AsOf, *, days: int = 35, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Seconds per leg from pickup request to delivery.
 
     Rows are not reduced: an order or last-mile record that occurs twice shows twice. The three picks
     from the scan log are one aggregate over the windowed scans, on the partitioning the window made.
     Return bills are not joined: reduced to one per parcel they add no row and no column, and unreduced they
-    would put a scan in front of itself. Only scans of the shown parcels are windowed.
+    would put a scan in front of itself. Only scans of the shown parcels are windowed. Orders and last-mile records of
+    a parcel with more than ``hot_rows`` of them are spread over many tasks.
     """
     options = tables["system_option"]
     parcels = rolling_window(tables["dashboard_tokopedia"], "input_time", days, as_of, tz=None)
@@ -33,7 +35,7 @@ def tokopedia_leadtime(tables: Tables, as_of: AsOf, *, days: int = 35) -> DataFr
     scans = scans.where(F.col("deleted") == "0").select("waybill_no", "record_time", "operation_branch_name", "operation_type")
     scans = of_spine(scans, parcels)
     scans = decode_option(scans, "operation_type", options, "operationType", "scan_type", unique=False).drop("operation_type")
-    walked = scan_neighbours(scans, "waybill_no", "record_time", "operation_branch_name", "scan_type")
+    walked = scan_neighbours(scans, "waybill_no", "record_time", "operation_branch_name", "scan_type", hot_rows=hot_rows)
 
     stop, before, after = (F.col(c) for c in ("operation_branch_name", "previous_branch_name", "next_location_name"))
     sending, arrival = F.col("scan_type") == rules.LABEL_SENDING, F.col("scan_type") == rules.LABEL_ARRIVAL
@@ -53,7 +55,7 @@ def tokopedia_leadtime(tables: Tables, as_of: AsOf, *, days: int = 35) -> DataFr
     last_mile = tables["dashboard_productivity_lm"].select(
         "waybill_no", F.col("arrival_time").alias("arrival_time_dest"), "th_arrival"
     )
-    rows = first_mile_repair(latest_status_join(parcels, orders, last_mile, picks))
+    rows = first_mile_repair(latest_status_join(parcels, orders, last_mile, picks, unreduced=(0, 1), hot_rows=hot_rows))
     rows = decode_option(rows, "_source", options, "orderSource", "order_source", unique=False)
     rows = decode_option(rows, "_service", options, "serviceType", "service_type", unique=False)
     scan_times = ("fm_sending_time", "mh_ori_arrival_time", "sending_time_to_th_dest")
@@ -75,11 +77,13 @@ def tokopedia_leadtime(tables: Tables, as_of: AsOf, *, days: int = 35) -> DataFr
     )
 
 
-def sent_to_3pl(tables: Tables, as_of: AsOf, *, days: int = 35, waybill_days: int = 65) -> DataFrame:
+def sent_to_3pl(
+    tables: Tables, as_of: AsOf, *, days: int = 35, waybill_days: int = 65, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Parcels handed to an outside carrier, with their last hub arrival and unloading.
 
     Hand-over, arrival and unloading come from one aggregate over the scan log. The waybill side keeps
-    every version, so a parcel with two versions shows twice.
+    every version, so a parcel with two versions shows twice; one with more than ``hot_rows`` is spread over many tasks.
     """
     scans = rolling_window(tables["dm_waybill_waybill_line"], "record_time", days, as_of)
     scans = scans.where(F.col("deleted") == "0").select(
@@ -111,7 +115,7 @@ def sent_to_3pl(tables: Tables, as_of: AsOf, *, days: int = 35, waybill_days: in
     def local(name: str, out: str):
         return local_time(F.col(name), as_of.tz).alias(out)
 
-    return handovers.join(waybills, "waybill_no", "left").select(
+    return left_join(handovers, waybills, "waybill_no", hot_rows).select(
         "waybill_no", "order_no", "operation_branch_name", "next_location",
         local("arrived", "arrival_time_branch"), local("unloaded", "unloading_time_branch"),
         local("handed_time", "sending_time_to_3pl"),

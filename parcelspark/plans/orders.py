@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parcelspark.functions.classify import order_vs_waybill
 from parcelspark.functions.timeops import AsOf, local_time, rolling_window
 from parcelspark.operators.enrich import decode_option
+from parcelspark.operators.skew import HOT_ROWS, left_join
 from parcelspark.sources.tables import Tables
 
 _FEES = {
@@ -18,8 +19,9 @@ _PLACES = ("sender_city_name", "sender_district_name", "recipient_city_name", "r
 _WEIGHTS = ("item_calculated_weight", "item_volume_weight")
 
 
-def shipping_fee_check(tables: Tables, as_of: AsOf, *, days: int = 186) -> DataFrame:
-    """Every order next to each version of its waybill; not reduced to one row per parcel."""
+def shipping_fee_check(tables: Tables, as_of: AsOf, *, days: int = 186, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every order next to each version of its waybill; not reduced to one row per parcel. The versions of a parcel
+    with more than ``hot_rows`` of them are spread over many tasks."""
     numeric = "decimal(38,9)"
     orders = rolling_window(tables["order_order"], "input_time", days, as_of)
     orders = orders.where(F.col("waybill_no").contains("IDE")).select(
@@ -39,7 +41,7 @@ def shipping_fee_check(tables: Tables, as_of: AsOf, *, days: int = 186) -> DataF
         F.col("item_actual_weight").cast(numeric).alias("_w_actual"),
         *[F.col(name).alias(f"waybill_{out}") for name, out in _FEES.items()],
     )
-    rows = orders.join(waybills, "waybill_no", "left")
+    rows = left_join(orders, waybills, "waybill_no", hot_rows)
     options = tables["system_option"]
     rows = decode_option(rows, "_o_express", options, "expressType", "order_express_type", unique=False)
     rows = decode_option(rows, "_w_express", options, "expressType", "waybill_express_type", unique=False)
