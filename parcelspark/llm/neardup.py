@@ -16,7 +16,6 @@ from parcelspark.llm.common import cols, components, dropped, free, quoted, stor
 
 _TABLE_BITS = 16
 _BLOCK_SHINGLES = 2_000_000
-_SLOT_BITS = 20
 
 
 @dataclass(frozen=True)
@@ -35,7 +34,7 @@ class Settings:
 
 def shingles(text: str | bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of a text, sorted, and how often each occurs. A text of fewer words is one shingle."""
-    own = words.hashed(words.split(text))
+    own = words.spelled(text)
     if not len(own):
         return own, np.zeros(0)
     return np.unique(words.Runs(own).each(min(size, len(own))), return_counts=True)
@@ -213,29 +212,33 @@ def common_shingles(rows: DataFrame, n: int, settings: Settings) -> tuple[np.nda
 
 
 def _sketched(rows: DataFrame, weights, settings: Settings) -> DataFrame:
-    """(doc, tid, bands): a hash per band, then one per pair of neighbouring bands; none for a text without words."""
+    """(doc, tid, total, bands): the text's weight, a hash per band, then one per pair of neighbouring bands; none for a
+    text without words."""
     width = settings.rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler, own = Sampler(settings.bands * width, settings.seed), weights.value
         places = np.arange(settings.bands).astype(np.uint64)
         for batch in batches:
-            bands = []
+            bands, totals = [], []
             for text in words.each(batch.column(2)):
                 shingle, count = shingles(text, settings.shingle)
+                weight = own.of(shingle, count)
+                totals.append(float(weight.sum()))
                 if not len(shingle):
                     bands.append([])
                     continue
-                samples = sampler.of(shingle, own.of(shingle, count)).reshape(settings.bands, width)
+                samples = sampler.of(shingle, weight).reshape(settings.bands, width)
                 key = places
                 for column in samples.T:
                     key = words.mixed(key * np.uint64(0x9E3779B97F4A7C15) + column)
                 bands.append(words.signed(np.concatenate([key, words.mixed(key + np.roll(key, -1))])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64()))], names=["doc", "tid", "bands"]
+                [batch.column(0), batch.column(1), pa.array(totals, pa.float64()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc", "tid", "total", "bands"],
             )
 
-    return rows.mapInArrow(run, "doc long, tid binary, bands array<long>")
+    return rows.mapInArrow(run, "doc long, tid binary, total double, bands array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, weights, settings: Settings) -> DataFrame:
@@ -278,62 +281,62 @@ def _packed(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc long, tid binary, packed binary")
 
 
-def _tally(texts: DataFrame, settings: Settings) -> np.ndarray:
-    """How many of ``texts`` hold a shingle, in a table of fixed size indexed by its leading bits. Shingles that share
-    a slot count for each other, so a count is never too small."""
-    size, slots = settings.shingle, 1 << _SLOT_BITS
+def _held(texts: DataFrame, settings: Settings) -> DataFrame:
+    """(tid, shared): the shingles of a text that another one of ``texts`` holds too, with the number of holders, as
+    packed 64-bit numbers. A text without any has no row. A shingle occurs once in a text, so no shingle's rows are
+    more than a text's share of all."""
 
-    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([zlib.decompress(packed) for packed in batch.column(0).to_pylist()], pa.binary())], names=["text"]
-            )
+            for tid, packed in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
+                own, _ = shingles(zlib.decompress(packed), settings.shingle)
+                for start in range(0, len(own), 100_000):
+                    part = words.signed(own[start : start + 100_000])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([tid] * len(part), pa.binary()), pa.array(part)], names=["tid", "shingle"]
+                    )
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(slots, np.int64)
-        for _, held in _blocks(unpacked(batches), size):
-            total += np.bincount((held >> np.uint64(64 - _SLOT_BITS)).view(np.int64), minlength=slots)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["slot", "n"])
-
-    counted = (
-        texts.select("packed").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    )
-    table = np.zeros(slots, np.int64)
-    table[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
-    return table
+    spread = stored(texts.select("tid", "packed").mapInArrow(run, "tid binary, shingle long"), "spread")
+    often = spread.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    return spread.join(often, "shingle").groupBy("tid").agg(F.collect_list(F.struct("n", "shingle")).alias("shared"))
 
 
-def _prefixes(texts: DataFrame, tally, weights, settings: Settings) -> DataFrame:
-    """(shingle, tid, class, total): of each text the rarest shingles, as far as all others weigh less than
-    ``similarity`` of its total weight. Shared shingles of two texts that are as similar as asked for weigh no less
-    than that, and all texts are read in one order, so two such texts have a shingle of both prefixes in common.
-    Shingles that no other text holds are left out."""
+def _prefixes(texts: DataFrame, held: DataFrame, weights, settings: Settings) -> DataFrame:
+    """(shingle, tid, class, total, rest): of each text the rarest shingles, as far as they and all after them, ``rest``,
+    weigh at least ``similarity`` of its ``total`` weight. All texts are read in one order, by holders and then by the
+    shingle, so this much is left at the first shingle that two texts share if they are as similar as asked for.
+    Shingles that no other text holds come first and only take their weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, holders = weights.value, tally.value
+        own = weights.value
         for batch in batches:
-            for tid, group, packed in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for tid, group, packed, shared in zip(*(words.each(batch.column(i), 64) for i in range(4))):
                 shingle, count = shingles(zlib.decompress(packed), settings.shingle)
                 weight = own.of(shingle, count)
-                held = holders[(shingle >> np.uint64(64 - _SLOT_BITS)).view(np.int64)]
-                order = np.lexsort((shingle, held))
-                upto, total = np.cumsum(weight[order]), float(weight.sum())
-                end = np.searchsorted(upto, total - settings.similarity * total * (1 - 1e-9), side="right") + 1
-                order = order[:end]
-                order = order[held[order] > 1]
+                total = float(weight.sum())
+                found = np.array([x["shingle"] for x in shared], np.int64).view(np.uint64)
+                order = np.lexsort((found, np.array([x["n"] for x in shared])))
+                found = found[order]
+                mine = weight[np.searchsorted(shingle, found)]
+                rest = np.cumsum(mine[::-1])[::-1]
+                upto = rest >= settings.similarity * total * (1 - 1e-9)
+                if not upto.any():
+                    continue
+                n = int(upto.sum())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(words.signed(shingle[order])),
-                        pa.array([tid] * len(order), pa.binary()),
-                        pa.array([group] * len(order), pa.binary()),
-                        pa.array(np.full(len(order), total)),
+                        pa.array(words.signed(found[upto])),
+                        pa.array([tid] * n, pa.binary()),
+                        pa.array([group] * n, pa.binary()),
+                        pa.array(np.full(n, total)),
+                        pa.array(rest[upto]),
                     ],
-                    names=["shingle", "tid", "class", "total"],
+                    names=["shingle", "tid", "class", "total", "rest"],
                 )
 
-    return texts.select("tid", "class", "packed").mapInArrow(
-        run, "shingle long, tid binary, class binary, total double"
+    return (
+        texts.join(held, "tid").select("tid", "class", "packed", "shared")
+        .mapInArrow(run, "shingle long, tid binary, class binary, total double, rest double")
     )
 
 
@@ -349,25 +352,27 @@ def _left_over(met: DataFrame, component: DataFrame) -> DataFrame:
 
 def _rest_pairs(texts: DataFrame, weights, settings: Settings) -> DataFrame:
     """(a, b), a < b: every pair of ``texts`` (tid, class, packed) of two classes that may be as similar as asked for,
-    by a prefix filter. Where a shingle's holders are mostly of one class, only the others are paired with all, so
+    by a prefix filter. Two texts of similarity s share at least s / (1 + s) of the weight of both. So at the first
+    shingle they share that much must be left in either: of the lighter one that is at most a ninth of its weight from
+    the start, at s = 0.8. Where a shingle's holders are mostly of one class, only the others are paired with all, so
     pairs do not grow with the square of that class."""
-    tally = texts.sparkSession.sparkContext.broadcast(_tally(texts, settings))
-    prefixes = stored(_prefixes(texts, tally, weights, settings), "prefixes")
+    held = stored(_held(texts, settings), "shared")
+    prefixes = stored(_prefixes(texts, held, weights, settings), "prefixes")
     mixed = (
         prefixes.groupBy("shingle", "class").agg(F.count("*").alias("n"))
         .groupBy("shingle").agg(F.max(F.struct("n", "class")).alias("top"), F.count("*").alias("classes"))
         .where("classes > 1").select("shingle", F.col("top.class").alias("top"))
     )
-    held = stored(prefixes.join(mixed, "shingle"), "held")
-    dropped(prefixes)
-    few = held.where("class <> top").select(
-        "shingle", F.col("tid").alias("t"), F.col("class").alias("c"), F.col("total").alias("w")
+    met = stored(prefixes.join(mixed, "shingle"), "held")
+    few = met.where("class <> top").select(
+        "shingle", F.col("tid").alias("t"), F.col("class").alias("c"), F.col("total").alias("w"), F.col("rest").alias("r")
     )
     least = settings.similarity * (1 - 1e-9)
     return (
-        few.join(held, "shingle")
+        few.join(met, "shingle")
         .where("c <> class AND (class = top OR t < tid)")
         .where(F.least("w", "total") >= least * F.greatest("w", "total"))
+        .where(F.least("r", "rest") >= least / (1 + settings.similarity) * (F.col("w") + F.col("total")))
         .select(F.least("t", "tid").alias("a"), F.greatest("t", "tid").alias("b"))
         .distinct()
     )
@@ -394,20 +399,31 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
     rows = _rows(df, doc_id, text)
     weights = df.sparkSession.sparkContext.broadcast(Weights(n, *common_shingles(rows, n, settings), settings.common))
     sketched = stored(_sketched(rows, weights, settings), "sketches")
-    nodes = stored(sketched.groupBy("tid").agg(F.min("doc").alias("doc"), F.min("bands").alias("bands")), "nodes")
-    members = nodes.select("tid", F.posexplode("bands").alias("band", "key")).select(
-        "tid", F.struct("band", "key").alias("bucket")
+    nodes = stored(
+        sketched.groupBy("tid").agg(F.min("doc").alias("doc"), F.min("total").alias("total"), F.min("bands").alias("bands")),
+        "nodes",
+    )
+    members = nodes.select("tid", "total", F.posexplode("bands").alias("band", "key")).select(
+        "tid", "total", F.struct("band", "key").alias("bucket")
     )
     leaders = (
         members.groupBy("bucket")
-        .agg(F.min(F.struct(F.xxhash64("tid", "bucket").alias("draw"), "tid")).alias("lead"), F.count("*").alias("size"))
+        .agg(
+            F.min(F.struct(F.xxhash64("tid", "bucket").alias("draw"), "tid", "total")).alias("lead"),
+            F.count("*").alias("size"),
+        )
         .where("size > 1")
-        .select("bucket", F.col("lead.tid").alias("b"), "size")
+        .select("bucket", F.col("lead.tid").alias("b"), F.col("lead.total").alias("heavy"), "size")
     )
     met = stored(members.join(leaders, "bucket"), "met")
-    pairs = stored(met.where("tid <> b").select(F.col("tid").alias("a"), "b").distinct(), "pairs")
+    # No text is more similar to another than the lighter one's share of the heavier one's weight.
+    near = F.least("total", "heavy") >= settings.similarity * (1 - 1e-9) * F.greatest("total", "heavy")
+    asked = met.where("tid <> b").where(near)
+    pairs = stored(
+        asked.groupBy(F.col("tid").alias("a"), "b").agg(F.max(F.struct("size", "bucket")).alias("best")), "pairs"
+    )
     involved = nodes.join(
-        pairs.select(F.col("a").alias("tid")).union(pairs.select(F.col("b").alias("tid"))).distinct(), "tid"
+        met.where("size > 2 OR tid <> b").select("tid").union(pairs.select("b")).distinct(), "tid"
     ).select(F.col("tid").alias("t"), F.col("doc").alias("d"))
     texts = stored(
         _packed(rows)
@@ -416,7 +432,17 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
         .select("tid", "packed"),
         "texts",
     )
-    links = stored(_verified(pairs, texts, weights, settings), "links")
+    # First each text meets the leader of its largest bucket; then those leaders whose class it is not in already.
+    first = pairs.groupBy("a").agg(F.max(F.struct("best", "b")).alias("pick")).select("a", F.col("pick.b").alias("b"))
+    links = stored(_verified(first, texts, weights, settings), "links")
+    component = stored(components(links).select(F.col("node").alias("tid"), "component"), "components")
+    class_by = lambda key, name: component.select(F.col("tid").alias(key), F.col("component").alias(name))
+    further = (
+        pairs.select("a", "b").join(first, ["a", "b"], "left_anti")
+        .join(class_by("a", "x"), "a", "left").join(class_by("b", "y"), "b", "left")
+        .where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b")
+    )
+    links = stored(_verified(further, texts, weights, settings).union(links), "links")
     component = stored(components(links).select(F.col("node").alias("tid"), "component"), "components")
     joined = nodes.select("tid", "doc").join(component, "tid", "left").withColumn("class", F.coalesce("component", "tid"))
     left = stored(_left_over(met, component), "left")

@@ -4,9 +4,12 @@ import random
 
 import brute
 import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from parcelspark.llm import neardup
+from parcelspark.llm import neardup, words
 from parcelspark.llm.common import components
 
 
@@ -105,3 +108,56 @@ def test_components_of_long_chains_and_hubs(spark):
     found = {r.node: r.component for r in components(chain.union(hub)).collect()}
     assert all(found[i] == 0 for i in range(61)) and all(found[i] == 1000 for i in [*range(1000, 1200), 2000])
     assert components(chain.limit(0)).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("ab\u00e9 \n\t\x0b\x1f\u00a0")), max_size=12), max_size=5))
+def test_hashes_tell_words_apart_as_splitting_does(parts):
+    text = " ".join(parts)
+    own = words.split(text)
+    found = words.spelled(text).tolist()
+    assert len(found) == len(own) and len(set(zip(found, own))) == len(set(found)) == len(set(own))
+
+
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    text = "one two  three\nfour " * 40 + "x" * 300 + " end"
+    whole = words.spelled(text)
+    monkeypatch.setattr(words, "_PIECE", 16)
+    assert (words.spelled(text) == whole).all()
+
+
+@pytest.mark.parametrize("share", [0.82, 0.88])
+def test_many_unlike_texts_of_one_template(spark, monkeypatch, share):
+    """Texts that share most of a template, below the similarity asked for, with pairs above it planted among them:
+    exactly the pairs of a comparison of all are linked, and few others are looked at."""
+    draw = random.Random(int(share * 100))
+    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(6))
+    template, size = [word() for _ in range(200)], 120
+    texts = []
+    for i in range(size):
+        own = [word() for _ in range(int(len(template) * (1 - share) / share))]
+        texts.append(" ".join(template[: len(template) // 2] + own + template[len(template) // 2 :]))
+    texts += [t + " " + word() for t in texts[:10]]
+    seen = []
+    original = neardup._rest_pairs
+    monkeypatch.setattr(neardup, "_rest_pairs", lambda *a: seen.append(original(*a)) or seen[-1])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    classes = {r.doc_id: r.class_id for r in neardup.classes(df).collect()}
+    bags = [neardup.shingles(t, 5) for t in texts]
+    n = len(texts)
+    held = {}
+    for shingle, _ in bags:
+        for x in shingle.tolist():
+            held[x] = held.get(x, 0) + 1
+    often = sorted(x for x, k in held.items() if k >= 0.01 * n)
+    weights = neardup.Weights(n, np.array(often, np.uint64), np.array([held[x] for x in often]), 0.01)
+    weighed = [(s, weights.of(s, c)) for s, c in bags]
+    sets = brute.Sets()
+    for i in range(n):
+        sets.root(i)
+        for j in range(i):
+            if neardup.similarity(weighed[i], weighed[j]) >= 0.8:
+                sets.join(i, j)
+    assert classes == {i: sets.root(i) for i in range(n)}
+    if seen:
+        assert seen[0].count() <= 5 * n
