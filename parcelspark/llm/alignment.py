@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from parcelspark.llm import words
 from parcelspark.llm.common import cols, dropped, free, others, stored
 
-# Chunks of text that a worker keeps with their alignment; a full memory is emptied, which costs time only.
-CACHE_ENTRIES = 250_000
+# Chunks of text that a worker keeps with their alignment. When so many are new, those not met since are forgotten.
+CACHE_ENTRIES = 200_000
 _LEARNED = 4096
 _BLANK = "▁"
 _LOW = np.uint64(0xFFFFFFFF)
@@ -34,6 +34,36 @@ def _byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+#: How byte-level tokenizers part a text before they merge (a fixed value of the format).
+_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _ranked(tokenizer, bytes_of: list[bytes]):
+    """The same tokenizer as a ``tiktoken`` encoding, which is several times faster; none where the two could differ:
+    unless the file holds plain byte-level merges whose results are numbered in the order of the merges."""
+    import json
+
+    import tiktoken
+
+    told = json.loads(tokenizer.to_str())
+    model, before = told["model"], told["pre_tokenizer"] or {}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+    vocabulary = model.get("vocab", {})
+    plain = (
+        told["normalizer"] is None
+        and model["type"] == "BPE"
+        and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        and (before.get("type"), before.get("add_prefix_space"), before.get("use_regex")) == ("ByteLevel", False, True)
+        and len(vocabulary) == len(merges) + 256
+        and sorted(vocabulary.values()) == list(range(len(vocabulary)))
+        and all(vocabulary.get(a + b) == 256 + i for i, (a, b) in enumerate(merges))
+    )
+    if not plain:
+        return None
+    ranks = {bytes_of[number]: number for number in vocabulary.values()}
+    return tiktoken.Encoding("byte level", pat_str=_PARTS, mergeable_ranks=ranks, special_tokens={})
+
+
 class Vocabularies:
     """A byte-level tokenizer A of the ``tokenizers`` library and a piece model B of ``sentencepiece``."""
 
@@ -50,6 +80,7 @@ class Vocabularies:
         for token, number in vocabulary.items():
             known = all(c in letters for c in token)
             self.bytes_a[number] = bytes(map(letters.__getitem__, token)) if known else token.encode()
+        self.fast = _ranked(self.a, self.bytes_a)
         piece = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_BLANK, " ").encode() for i, p in enumerate(piece)
@@ -64,9 +95,14 @@ class Vocabularies:
         longer_a = sum(n * held_b[t[i:]] for t, n in held_a.items() for i in range(len(t)))
         return longer_a + sum(n * held_a[t[i:]] for t, n in held_b.items() for i in range(1, len(t)))
 
+    def ids_a(self, text: str) -> list[int]:
+        if self.fast is not None:
+            return self.fast.encode_ordinary(text)
+        return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def encoded(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of A over blank + text and of B over the text; none where a tokenizer does not keep the bytes."""
-        a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        a = self.ids_a(" " + text)
         b = self.b.encode(text, num_threads=1)
         whole = b" " + text.encode()
         if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
@@ -84,17 +120,18 @@ class Aligner:
     #: groups of ids as text, links as 64-bit numbers (A's id in the upper half), counts of A's and B's ids likewise
     Record = tuple[bytes, bytes, int]
 
-    def __init__(self, byte_level: str, pieces: str):
-        self.own = Vocabularies(byte_level, pieces)
+    def __init__(self, byte_level: str, pieces: str, groups: bool = True):
+        self.own, self.groups = Vocabularies(byte_level, pieces), groups
         self.known: dict[str, Aligner.Record | None] = {}
+        self.older: dict[str, Aligner.Record | None] = {}
 
     def _cut(self, a: np.ndarray, b: np.ndarray):
         """Ends of the groups in bytes and in A's and B's ids, the groups as text, and their links."""
         ends_a, ends_b = np.cumsum(self.own.sizes_a[a]), np.cumsum(self.own.sizes_b[b])
         ends, last_a, last_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        names_a, names_b = (list(map(str, ids.tolist())) if self.groups else [] for ids in (a, b))
         groups, x, y = [], 0, 0
-        for i, j in zip((last_a + 1).tolist(), (last_b + 1).tolist()):
+        for i, j in zip((last_a + 1).tolist(), (last_b + 1).tolist()) if self.groups else ():
             groups.append(f"{names_a[x] if i - x == 1 else ','.join(names_a[x:i])}|{names_b[y] if j - y == 1 else ','.join(names_b[y:j])}")
             x, y = i, j
         links = a[last_a].astype(np.uint64) << np.uint64(32) | b[last_b].astype(np.uint64)
@@ -134,10 +171,13 @@ class Aligner:
         if not self.own.parted:
             return [self.whole(text or "") for text in texts]
         if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         known = self.known
         split = [text.split(" ") if text else [] for text in texts]
         new = set().union(*split).difference(known)
+        again = new.intersection(self.older)
+        known.update((chunk, self.older[chunk]) for chunk in again)
+        new -= again
         odd = {chunk for chunk in new if not chunk or chunk[0].isspace()}
         known.update(dict.fromkeys(odd))
         self._learn(list(new - odd))
@@ -154,14 +194,15 @@ class Aligner:
         return found
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
+_ALIGNERS: dict[tuple[str, str, bool], Aligner] = {}
 
 
-def aligner(byte_level: str, pieces: str) -> Aligner:
-    """One per worker process, so that its memory lasts."""
-    at = (byte_level, pieces)
+def aligner(byte_level: str, pieces: str, groups: bool = True) -> Aligner:
+    """One per worker process, so that its memory lasts. Without ``groups`` records have no text of them."""
+    at = (byte_level, pieces, groups)
     if at not in _ALIGNERS:
-        _ALIGNERS[at] = Aligner(byte_level, pieces)
+        _ALIGNERS.clear()
+        _ALIGNERS[at] = Aligner(*at)
     return _ALIGNERS[at]
 
 
@@ -279,7 +320,7 @@ def linked_pairs(df: DataFrame, byte_level: str, pieces: str, text: str = "text"
     bound = Vocabularies(byte_level, pieces).pair_bound()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = aligner(byte_level, pieces)
+        own = aligner(byte_level, pieces, groups=False)
         keys, total = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         held, waiting = [], 0
 

@@ -102,6 +102,7 @@ def test_empty_table(spark):
 def test_chunks_give_what_whole_texts_give(plain, texts):
     own = alignment.aligner(A, B)
     own.known.clear()
+    own.older.clear()
     for text, record in zip(texts, own.of(texts)):
         groups = plain(text)
         assert (record is None) == (groups is None)
@@ -122,3 +123,20 @@ def test_perfect_hash(n):
 def test_linked_pairs_end_alike():
     own = alignment.Vocabularies(A, B)
     assert 100_000 < own.pair_bound() < 2_000_000 and own.parted
+
+
+def test_faster_encoding_gives_the_same_ids(tmp_path):
+    own = alignment.Vocabularies(A, B)
+    assert own.fast is not None
+    for text in filter(None, TEXTS):
+        assert own.ids_a(text) == own.a.encode(text, add_special_tokens=False).ids
+    changed = tmp_path / "changed.json"
+    changed.write_text(open(A).read().replace('"use_regex":true', '"use_regex":false').replace('"use_regex": true', '"use_regex": false'))
+    assert alignment.Vocabularies(str(changed), B).fast is None
+
+
+def test_forgotten_chunks_are_aligned_again(monkeypatch):
+    monkeypatch.setattr(alignment, "CACHE_ENTRIES", 3)
+    texts = ["one two three", "four five", "one six", "two seven eight nine ten", "one two"]
+    own, whole = alignment.Aligner(A, B), alignment.Aligner(A, B)
+    assert [own.of([text])[0] for text in texts] == [whole.whole(text) for text in texts]
