@@ -8,7 +8,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelspark.llm.common import cols, others
+from parcelspark.llm.common import cols, free, others
 
 # The three base kinds, in the order in which spans at one place are listed.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -48,41 +48,58 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def running(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """``merge`` of each number of an array with all before it, for an associative ``merge``.
+
+    Appending to an array copies it, so numbers are run over in pieces of about the square root of their count, and
+    then the pieces' last ones: n numbers cost some n * sqrt(n) copies of a word.
+    """
+    none = F.array().cast("array<long>")
+
+    def through(piece: Column) -> Column:
+        follow = lambda acc, x: F.when(F.size(acc) == 0, F.array(x)).otherwise(
+            F.concat(acc, F.array(merge(F.get(acc, F.size(acc) - 1), x)))
+        )
+        return F.aggregate(piece, none, follow)
+
+    def joined(pieces: Column) -> Column:
+        return let(
+            through(F.transform(pieces, lambda p: F.get(p, F.size(p) - 1))),
+            lambda ends: F.flatten(
+                F.transform(
+                    pieces, lambda p, i: F.when(i == 0, p).otherwise(F.transform(p, lambda v: merge(F.get(ends, i - 1), v)))
+                )
+            ),
+        )
+
+    def cut(own: Column) -> Column:
+        step = F.ceil(F.sqrt(F.size(own))).cast("int")
+        starts = F.sequence(F.lit(1), F.size(own), step)
+        return let(F.transform(starts, lambda at: through(F.slice(own, at, step))), joined)
+
+    return let(values.cast("array<long>"), lambda own: F.when(F.size(own) > 0, cut(own)).otherwise(none))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """(start, end, found) of the leftmost non-overlapping matches, in code points, end exclusive.
 
     The text between matches, from a split at the same pattern, tells where they start; texts without a match are
     searched once only. The pattern must not match the empty string.
     """
+    shape = "array<struct<start:int,end:int,found:string>>"
 
     def placed(found: Column) -> Column:
-        between = F.split(text, pattern, -1)
-        steps = F.arrays_zip(found.alias("found"), between.alias("between"))
-        none = F.array().cast("array<struct<start:int,end:int,found:string>>")
-        return F.aggregate(
-            F.filter(steps, lambda s: s["found"].isNotNull()),
-            F.struct(F.lit(0).alias("at"), none.alias("spans")),
-            lambda acc, s: let(
-                acc["at"] + F.length(s["between"]),
-                lambda start: let(
-                    start + F.length(s["found"]),
-                    lambda end: F.struct(
-                        end.alias("at"),
-                        F.concat(
-                            acc["spans"],
-                            F.array(F.struct(start.alias("start"), end.alias("end"), s["found"].alias("found"))),
-                        ).alias("spans"),
-                    ),
-                ),
-            ),
-            lambda acc: acc["spans"],
-        )
+        between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        lengths = F.zip_with(between, found, lambda b, f: F.length(b) + F.length(f))
+        return F.zip_with(
+            found,
+            running(lengths, lambda a, b: a + b),
+            lambda f, end: F.struct((end - F.length(f)).cast("int").alias("start"), end.cast("int").alias("end"), f.alias("found")),
+        ).cast(shape)
 
     return let(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(
-            F.array().cast("array<struct<start:int,end:int,found:string>>")
-        ),
+        lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(F.array().cast(shape)),
     )
 
 
@@ -95,8 +112,18 @@ def dense_part(candidate: Column, window: int, bits: float) -> Column:
     Shannon entropy a character cover, or null.
 
     The window slides by one character; the counts of the one that comes in and the one that goes out change, and
-    with them the running sum of n log n, so a step costs the same for any window.
+    with them the running sum of n log n, so a step costs the same for any window and at any place.
     """
+    return _dense_by(candidate, F.lit(window), F.lit(bits), F.lit(log2(window)))
+
+
+def _dense_by(candidate: Column, window: Column, bits: Column, most: Column) -> Column:
+    return let(
+        F.transform(F.split(candidate, ""), lambda letter: F.ascii(letter)), lambda codes: _dense(codes, window, bits, most)
+    )
+
+
+def _dense(codes: Column, window: Column, bits: Column, most: Column) -> Column:
     changed = lambda counts, code, by: F.transform(
         counts, lambda n, i: F.when(i == code, n + F.lit(by)).otherwise(n)
     )
@@ -108,9 +135,12 @@ def dense_part(candidate: Column, window: int, bits: float) -> Column:
     )
 
     def step(state: Column, i: Column) -> Column:
-        into = F.ascii(F.substring(candidate, i, F.lit(1)))
-        gone = F.when(i > window, F.ascii(F.substring(candidate, i - window, F.lit(1)))).otherwise(F.lit(-1))
+        return let(
+            F.struct(F.get(codes, i - 1).alias("into"), F.get(codes, i - window - 1).alias("gone")),
+            lambda at: moved(state, i, at["into"], at["gone"]),
+        )
 
+    def moved(state: Column, i: Column, into: Column, gone: Column) -> Column:
         def leave(now: Column) -> Column:
             n = now["counts"][gone]
             return F.when(
@@ -129,7 +159,7 @@ def dense_part(candidate: Column, window: int, bits: float) -> Column:
             )
 
         def judged(now: Column) -> Column:
-            dense = (i >= window) & (F.lit(log2(window)) - now["sum"] / window >= bits)
+            dense = (i >= window) & (most - now["sum"] / window >= bits)
             return F.struct(
                 now["counts"].alias("counts"),
                 now["sum"].alias("sum"),
@@ -141,7 +171,7 @@ def dense_part(candidate: Column, window: int, bits: float) -> Column:
         return let(let(counts, leave), lambda left: let(enter(left), judged))
 
     return F.aggregate(
-        F.sequence(F.lit(1), F.length(candidate)),
+        F.sequence(F.lit(1), F.size(codes)),
         start,
         step,
         lambda state: F.when(
@@ -167,29 +197,66 @@ def _unlisted(candidate: Column) -> Column:
     return let(matches(candidate, ALLOW), parts)
 
 
-def _entropy_spans(text: Column) -> Column:
-    """(start, end) of dense candidates, without the parts that an allow-list entry names."""
+def _unlisted_parts(candidates: Column) -> Column:
+    """(start, found) of what the allow-list leaves of the candidates of a text."""
+    return F.flatten(
+        F.transform(
+            candidates,
+            lambda m: F.transform(
+                _unlisted(m["found"]), lambda u: F.struct((m["start"] + u["start"]).alias("start"), u["found"].alias("found"))
+            ),
+        )
+    )
+
+
+def _dense_spans(parts: Column) -> Column:
+    """(start, end) of the dense parts among (start, found)."""
 
     def dense(found: Column) -> Column:
-        verdict = F.lit(None).cast("struct<start:int,end:int>")
+        rule = F.lit(None).cast("struct<window:int,bits:double,most:double>")
         for _, whole, window, bits, holds in reversed(CLASSES):
             fits = (F.length(found) >= window) & found.rlike(whole) & found.rlike(holds)
-            verdict = F.when(fits, dense_part(found, window, bits)).otherwise(verdict)
-        return verdict
+            own = F.struct(F.lit(window).alias("window"), F.lit(bits).alias("bits"), F.lit(log2(window)).alias("most"))
+            rule = F.when(fits, own).otherwise(rule)
+        return let(rule, lambda r: F.when(r.isNotNull(), _dense_by(found, r["window"], r["bits"], r["most"])))
+
+    placed = F.transform(
+        parts,
+        lambda u: let(
+            dense(u["found"]),
+            lambda part: F.struct((u["start"] + part["start"]).alias("start"), (u["start"] + part["end"]).alias("end")),
+        ),
+    )
+    return F.filter(placed, lambda m: m["start"].isNotNull())
 
-    def placed(m: Column) -> Column:
-        return F.transform(
-            _unlisted(m["found"]),
-            lambda u: let(
-                dense(u["found"]),
-                lambda part: F.struct(
-                    (m["start"] + u["start"] + part["start"]).alias("start"),
-                    (m["start"] + u["start"] + part["end"]).alias("end"),
-                ),
+
+def _apart(spans: Column, known: Column) -> Column:
+    """The ``spans`` that touch no ``known`` one. All are put in order once: what a span could touch is the known one
+    that ends last of those before it, and the first of those behind it."""
+    marked = F.concat(
+        F.transform(known, lambda m: F.struct(m["start"].alias("start"), F.lit(0).alias("new"), m["end"].alias("end"))),
+        F.transform(spans, lambda m: F.struct(m["start"].alias("start"), F.lit(1).alias("new"), m["end"].alias("end"))),
+    )
+    far = 1 << 40
+
+    def sorted_out(order: Column) -> Column:
+        ends = running(F.transform(order, lambda m: F.when(m["new"] == 0, m["end"]).otherwise(-1)), F.greatest)
+        starts = F.reverse(
+            running(F.reverse(F.transform(order, lambda m: F.when(m["new"] == 0, m["start"]).otherwise(F.lit(far)))), F.least)
+        )
+        free = F.transform(
+            F.arrays_zip(order.alias("m"), ends.alias("before"), starts.alias("after")),
+            lambda x: F.struct(
+                x["m"]["start"].alias("start"),
+                x["m"]["end"].alias("end"),
+                ((x["m"]["new"] == 1) & (x["before"] <= x["m"]["start"]) & (x["after"] >= x["m"]["end"])).alias("free"),
             ),
         )
+        return F.transform(F.filter(free, lambda x: x["free"]), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
 
-    return F.filter(F.flatten(F.transform(matches(text, CANDIDATE), placed)), lambda m: m["start"].isNotNull())
+    return F.when(
+        F.size(spans) > 0, F.when(F.size(known) > 0, let(F.sort_array(marked), sorted_out)).otherwise(spans)
+    ).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
 
 
 def _kind(spans: Column, rank: int) -> Column:
@@ -207,20 +274,26 @@ def scanned(df: DataFrame, text: str = "text", into: str = "spans") -> DataFrame
     Built-in functions only, no shuffle; whole texts are searched. A column named ``into`` is replaced.
     """
     kept = others(df, into)
+    assigns, accesses, hexes, found, parts, base, added = (
+        free(df, f"_{name}") for name in ("assigns", "accesses", "hexes", "found", "parts", "base", "added")
+    )
     body = F.coalesce(F.col(text), F.lit(""))
-    assign = F.filter(
-        matches(body, ASSIGN), lambda m: F.length(F.regexp_extract(m["found"], ASSIGN, 2)) >= 6
+    long_enough = lambda m: F.length(F.regexp_extract(m["found"], ASSIGN, 2)) >= 6
+    # A step at a time, since functions in functions would be too deep for the analyzer; Spark runs them as one.
+    searched = df.select(
+        *cols(kept),
+        F.filter(matches(body, ASSIGN), long_enough).alias(assigns),
+        matches(body, ACCESS).alias(accesses),
+        matches(body, HEX).alias(hexes),
+        matches(body, CANDIDATE).alias(found),
     )
-    base = F.concat(_kind(assign, 0), _kind(matches(body, ACCESS), 1), _kind(matches(body, HEX), 2))
-
-    def with_entropy(known: Column) -> Column:
-        added = F.filter(
-            _entropy_spans(body),
-            lambda m: ~F.exists(known, lambda k: (k["start"] < m["end"]) & (m["start"] < k["end"])),
-        )
-        return F.sort_array(F.concat(known, _kind(added, 3)))
-
-    return df.select(*cols(kept), let(base, with_entropy).alias(into))
+    judged = searched.select(
+        *cols(kept),
+        F.concat(*(_kind(F.col(c), rank) for rank, c in enumerate((assigns, accesses, hexes)))).alias(base),
+        _unlisted_parts(F.col(found)).alias(parts),
+    ).select(*cols(kept), base, _dense_spans(F.col(parts)).alias(added))
+    apart = judged.select(*cols(kept), base, _kind(_apart(F.col(added), F.col(base)), 3).alias(added))
+    return apart.select(*cols(kept), F.sort_array(F.concat(base, added)).alias(into))
 
 
 def listed(spans: Column) -> Column:

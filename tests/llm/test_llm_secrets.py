@@ -89,3 +89,20 @@ def test_no_python_in_the_plan(spark):
     plan = spark.range(1).selectExpr("id doc_id", "'x' text")
     text = secrets.scanned(plan)._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text and df.count() == 1
+
+
+def test_long_candidates_and_many_matches_take_linear_time(spark):
+    """A plain version of the whole rule on 100,000 random characters, and 20,000 matches in one text."""
+    from collections import Counter
+    from math import log2
+
+    draw = random.Random(9)
+    long = "".join(draw.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(100_000))
+    many = ("AKIA" + "Q7" * 8 + " ") * 20_000
+    found = spans(spark, [long, many])
+    counts = found[1].all.split(",")
+    assert len(counts) == 20_000 and counts[0] == "access:0:20" and counts[-1] == f"access:{21 * 19_999}:{21 * 19_999 + 20}"
+    dense = [
+        i for i in range(len(long) - 19) if -sum(n / 20 * log2(n / 20) for n in Counter(long[i : i + 20]).values()) >= 3.5
+    ]
+    assert found[0].all == f"entropy:{dense[0]}:{dense[-1] + 20}"
