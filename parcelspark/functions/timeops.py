@@ -88,15 +88,37 @@ def instant_literal(moment: datetime, like: T.DataType) -> Column:
     return F.lit(text + "Z").cast("timestamp")
 
 
+UNITS = ("day", "month")
+
+
+def unit_column(ts: str, unit: str) -> str:
+    """Name of the partition column that holds the start of the UTC day or month of ``ts`` in a log laid out by it."""
+    return f"{ts}_{unit}"
+
+
+def _pruned(df: DataFrame, ts: str, bound: Column, last: date, lower: bool) -> Column:
+    """``bound`` on ``ts``, and where ``df`` is laid out by day or month, the bound on that column which follows from it.
+    ``last`` is the outermost UTC date that ``bound`` lets in."""
+    for unit in UNITS:
+        if unit_column(ts, unit) in df.columns:
+            start = F.lit(last.replace(day=1) if unit == "month" else last)
+            held = F.col(unit_column(ts, unit))
+            bound = bound & (held >= start if lower else held <= start)
+    return bound
+
+
 def since(df: DataFrame, ts: str, day: date, tz: str | None = LOCAL_TZ) -> Column:
     """Predicate "date of ``ts`` in ``tz`` is on or after ``day``" as a bound on the raw column."""
-    return F.col(ts) >= instant_literal(start_of_day_utc(day, tz), df.schema[ts].dataType)
+    start = start_of_day_utc(day, tz)
+    bound = F.col(ts) >= instant_literal(start, df.schema[ts].dataType)
+    return _pruned(df, ts, bound, start.date(), lower=True)
 
 
 def until(df: DataFrame, ts: str, day: date, tz: str | None = LOCAL_TZ) -> Column:
     """Predicate "date of ``ts`` in ``tz`` is on or before ``day``" as a bound on the raw column."""
     end = start_of_day_utc(day + timedelta(days=1), tz)
-    return F.col(ts) < instant_literal(end, df.schema[ts].dataType)
+    bound = F.col(ts) < instant_literal(end, df.schema[ts].dataType)
+    return _pruned(df, ts, bound, (end - timedelta(microseconds=1)).date(), lower=False)
 
 
 def rolling_window(df: DataFrame, ts: str, days: int, as_of: AsOf, tz: str | None = LOCAL_TZ) -> DataFrame:

@@ -40,7 +40,8 @@ def heavy_keys(df: DataFrame, *keys: str, hot_rows: int = HOT_ROWS, nulls: bool
     held = text.union(one).groupBy((F.spark_partition_id() % _MERGERS).alias("_merger")).agg(
         F.expr(f"approx_top_k_accumulate(_text, {TRACKED})").alias("_sketch")
     )
-    merged = held.agg(F.expr(f"approx_top_k_combine(_sketch, {TRACKED})").alias("_sketch"))
+    # Grouped by a constant, because a task without rows cannot write the sketch of an ungrouped aggregate.
+    merged = held.groupBy(F.lit(0).alias("_all")).agg(F.expr(f"approx_top_k_combine(_sketch, {TRACKED})").alias("_sketch"))
     top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(_sketch, {LISTED})")).alias("_top"))
     return top.where(F.col("_top.count") > hot_rows).select(F.col("_top.item").alias("_hot_key"))
 

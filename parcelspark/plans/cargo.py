@@ -16,12 +16,17 @@ from parcelspark.operators.enrich import decode_option, hub_names, manifest_matc
 from parcelspark.operators.records import latest_record, transport_label
 from parcelspark.operators.rollups import bag_totals
 from parcelspark.operators.skew import HOT_ROWS
+from parcelspark.sources import stages
+from parcelspark.sources.stages import Stage
 from parcelspark.sources.tables import Tables
 
 SHEET_COLUMNS = (
     "report_date", "origin", "destination_by_bagging", "destination_by_issued", "no_of_packages", "smu_weight",
     "bm_code", "vm_code", "area_pulau", "smu_booking_code", "total_smu_fee", "flight_no", "airlanes", "vendor",
 )
+# Keys of the stage table of system bags, and the sheet's names for them.
+STAGE_KEYS = ("bag_no", "vehicle_tag_no")
+_SHEET_KEYS = {"bm_code": "bag_no", "vm_code": "vehicle_tag_no"}
 BAG_MEASURES = (
     "standard_shipping_fee", "handling_fee", "other_fee", "insurance_amount", "total_shipping_fee", "system_sf",
     "system_weight",
@@ -135,11 +140,17 @@ def smu_system_sorted(system: DataFrame) -> DataFrame:
     return system.orderBy("bag_no", "waybill_no")
 
 
-def smu_bag_level(hub_sheet: DataFrame, system: DataFrame) -> DataFrame:
-    """Consignment sheet with the fee and weight totals of its bag, from the two stage tables."""
-    totals = bag_totals(system, ("bag_no", "vehicle_tag_no", "bm_vm_concat"), BAG_MEASURES)
+def smu_bag_level(hub_sheet: DataFrame, system: DataFrame | Stage) -> DataFrame:
+    """Consignment sheet with the fee and weight totals of its bag, from the two stage tables. A bucketed stage of system
+    bags (by ``STAGE_KEYS``) is not shuffled."""
+
+    def totals(rows: DataFrame) -> DataFrame:
+        return bag_totals(rows, (*STAGE_KEYS, "bm_vm_concat"), BAG_MEASURES)
+
     sheet = hub_sheet.withColumnsRenamed({"mh_sending_join": "mh_sending", "mh_arrival_join": "mh_arrival"})
-    return manifest_match(sheet, totals)
+    if isinstance(system, Stage):
+        return stages.left_join(sheet, system, _SHEET_KEYS, totals)
+    return manifest_match(sheet, totals(system))
 
 
 _ORIGIN = {"sender_province_name": "origin_province", "sender_city_name": "origin_city", "sender_district_name": "origin_district"}
@@ -155,8 +166,14 @@ _WAYBILL_LEVEL = (
 )
 
 
-def smu_waybill_level(tables: Tables, system: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def smu_waybill_level(tables: Tables, system: DataFrame | Stage, *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Consignment sheet with every waybill of its bag, from the stage table of system bags. The waybills of a bag with
-    more than ``hot_rows`` are spread over many tasks."""
-    waybills = system.select(*_WAYBILL_LEVEL).withColumnsRenamed({**_ORIGIN, **_DESTINATION})
-    return manifest_match(_sheet(tables), waybills, hot_rows=hot_rows)
+    more than ``hot_rows`` are spread over many tasks. A bucketed stage (by ``STAGE_KEYS``) is not shuffled, and its own
+    list of hot bags counts."""
+
+    def waybills(rows: DataFrame) -> DataFrame:
+        return rows.select(*_WAYBILL_LEVEL).withColumnsRenamed({**_ORIGIN, **_DESTINATION})
+
+    if isinstance(system, Stage):
+        return stages.left_join(_sheet(tables), system.mapped(waybills), _SHEET_KEYS)
+    return manifest_match(_sheet(tables), waybills(system), hot_rows=hot_rows)

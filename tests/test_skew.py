@@ -113,3 +113,15 @@ def test_confirmations_of_hot_parcels(spark, sides, monkeypatch):
     plain = rows(enrich.scans_before_return(scans, returns))
     monkeypatch.setattr(enrich, "heavy_keys", lambda *a, **b: listed(spark, "hot", "w4", None))
     assert rows(enrich.scans_before_return(scans, returns)) == plain
+
+
+def test_sketch_where_adaptive_execution_is_off(spark, sides):
+    """Tasks that get no sketch to merge are no trouble."""
+    _, right = sides
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert [r[0] for r in skew.heavy_keys(right, "k", hot_rows=5_000).collect()] == ["hot"]
+        assert skew.heavy_keys(right.where("v < 0"), "k", hot_rows=5_000).collect() == []
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
