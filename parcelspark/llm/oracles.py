@@ -18,7 +18,7 @@ c AS (
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c),
 measures AS (
   SELECT doc_id, lang, source, base_failed, unnest([0, 1, 2, 3]) AS rule,
-         unnest([word_chars * 100 // n_words, n_symbols * 1000 // word_chars, n_dup_lines * 1000 // n_lines,
+         unnest([word_chars * 100 // n_words, n_symbols * 1000 // word_chars, greatest(n_dup_lines - 1, 0) * 1000 // n_lines,
                  n_repeat_words * 1000 // n_words]) AS v
   FROM judged WHERE n_words > 0),
 binned AS (SELECT *, if(v < 64, v, v - v % (1 << (length(bin(v)) - 6))) AS b FROM measures WHERE NOT base_failed),
@@ -27,15 +27,26 @@ own AS (
   FROM (SELECT *, count(*) OVER (PARTITION BY lang, source, rule ORDER BY b) AS upto,
                count(*) OVER (PARTITION BY lang, source, rule) AS total FROM binned) GROUP BY ALL),
 merged AS (
-  SELECT lang, rule, min(b) FILTER (4 * upto >= total) AS q1, min(b) FILTER (4 * upto >= 3 * total) AS q3
+  SELECT lang, rule, count(*) AS n, min(b) FILTER (4 * upto >= total) AS q1, min(b) FILTER (4 * upto >= 3 * total) AS q3
   FROM (SELECT *, count(*) OVER (PARTITION BY lang, rule ORDER BY b) AS upto,
                count(*) OVER (PARTITION BY lang, rule) AS total FROM binned) GROUP BY ALL),
+whole AS (
+  SELECT rule, min(b) FILTER (4 * upto >= total) AS q1, min(b) FILTER (4 * upto >= 3 * total) AS q3
+  FROM (SELECT *, count(*) OVER (PARTITION BY rule ORDER BY b) AS upto,
+               count(*) OVER (PARTITION BY rule) AS total FROM binned) GROUP BY ALL),
+chosen AS (
+  SELECT own.lang, own.source, rule, [50, 10, 30, 50][rule + 1] AS least, [NULL, NULL, 100, 100][rule + 1] AS most,
+         CASE WHEN own.n >= 100 THEN own.q1 WHEN merged.n >= 100 THEN merged.q1 ELSE whole.q1 END AS q1,
+         CASE WHEN own.n >= 100 THEN own.q3 WHEN merged.n >= 100 THEN merged.q3 ELSE whole.q3 END AS q3,
+         merged.q3 + 3 * greatest(merged.q3 - merged.q1, most) AS of_lang, whole.q3 + 3 * greatest(whole.q3 - whole.q1, most) AS of_all
+  FROM own JOIN merged USING (rule) JOIN whole USING (rule) WHERE own.lang IS NOT DISTINCT FROM merged.lang),
 quartiles AS (
-  SELECT own.lang, own.source, own.rule, if(own.n < 100, merged.q1, own.q1) AS q1, if(own.n < 100, merged.q3, own.q3) AS q3,
-         [50, 10, 150, 150][own.rule + 1] AS least
-  FROM own JOIN merged ON own.lang IS NOT DISTINCT FROM merged.lang AND own.rule = merged.rule),
+  SELECT *, q1 - 3 * greatest(q3 - q1, least) AS low,
+         CASE WHEN most IS NULL THEN q3 + 3 * greatest(q3 - q1, least)
+              ELSE least(q3 + 3 * greatest(q3 - q1, least), of_lang, of_all) END AS high
+  FROM chosen),
 within AS (
-  SELECT doc_id, bool_and(v <= q3 + 3 * greatest(q3 - q1, least) AND (m.rule > 0 OR v >= q1 - 3 * greatest(q3 - q1, least))) AS ok
+  SELECT doc_id, bool_and(v <= high AND (m.rule > 0 OR v >= low)) AS ok
   FROM measures m JOIN quartiles q ON m.rule = q.rule AND m.lang IS NOT DISTINCT FROM q.lang AND m.source IS NOT DISTINCT FROM q.source
   GROUP BY doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(ok, FALSE) AS kept
@@ -71,14 +82,29 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || t || c
        regexp_full_match(string_agg(role, ',' ORDER BY turn), '(system,)?user,assistant(,user,assistant)*') AS valid
 FROM sized GROUP BY conv_id"""
 
-WARC = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS body, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS best FROM pages)
+# Host labels from the right, without user, "www." and usual ports; then path and query. Without a host the address itself.
+_URL_PARTS = r"""regexp_extract(low, '^(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)([^?#]*)(\?[^#]*)?', ['host', 'path', 'query'])"""
+
+WARC = rf"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS best,
+         lower(regexp_replace(coalesce(url, 'urn:x-none'), '[\x00-\x20\x7f]+', '%20', 'g')) AS low
+  FROM pages),
+parts AS (SELECT *, {_URL_PARTS} AS u FROM p),
+hosts AS (SELECT *, regexp_replace(regexp_replace(u.host, '^.*@', ''), '^www\.', '') AS host FROM parts),
+keyed AS (
+  SELECT *, CASE WHEN u.host = '' THEN low ELSE
+           array_to_string(list_reverse(string_split(regexp_replace(host, ':.*$', ''), '.')), ',')
+           || regexp_replace(regexp_extract(host, ':.*$'), '^:(80|443)?$', '') || ')' || if(u.path = '', '/', u.path)
+           || if(u.query = '?', '', u.query) END AS url_key
+  FROM hosts)
 SELECT page_id, octet_length(encode(body)) AS payload_bytes,
        translate(list_aggregate(list_transform(range(8), lambda i:
          to_base(CAST('0x' || substr(sha1(body), CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT), 32, 4)), 'string_agg', ''),
          '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
-       if(page_id = best, 'response', 'revisit') AS record_type, if(page_id = best, NULL, best) AS refers_to
-FROM p"""
+       if(page_id = best, 'response', 'revisit') AS record_type, if(page_id = best, NULL, best) AS refers_to,
+       row_number() OVER (ORDER BY encode(url_key), page_id % 1000000000, page_id) - 1 AS position
+FROM keyed"""
 
 SUBSTRINGS = rf"""
 WITH w AS (SELECT doc_id, {WORDS} AS ws FROM documents),

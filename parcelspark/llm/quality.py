@@ -21,6 +21,8 @@ class Rule:
 
     The upper bound is Q3 + ``reach`` * max(Q3 - Q1, ``least_spread``), the lower one likewise below Q1 where
     ``lower`` is set. The least spread keeps a group of nearly equal documents from rejecting small differences.
+    Where ``common_spread`` is given, the upper bound is at most what the same formula gives for all sources of the
+    language, and for all languages, with that least spread: a source full of junk does not set its own bound.
     """
 
     name: str
@@ -28,13 +30,16 @@ class Rule:
     least_spread: int
     reach: int = 3
     lower: bool = False
+    common_spread: int | None = None
 
 
+# One line that comes twice is no sign of junk, so ``dup_lines`` counts from the second on. Word lengths and symbols differ
+# by kind of text, so that a source of code is its own measure.
 RULES = (
     Rule("word_length", "(word_chars * 100) div n_words", 50, lower=True),
     Rule("symbols", "(n_symbols * 1000) div word_chars", 10),
-    Rule("dup_lines", "(n_dup_lines * 1000) div n_lines", 150),
-    Rule("repeats", "(n_repeat_words * 1000) div n_words", 150),
+    Rule("dup_lines", "(greatest(n_dup_lines - 1L, 0L) * 1000) div n_lines", 30, common_spread=100),
+    Rule("repeats", "(n_repeat_words * 1000) div n_words", 50, common_spread=100),
 )
 
 
@@ -153,31 +158,55 @@ def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def thresholds(sketch: DataFrame, least_rows: int = 100) -> DataFrame:
-    """(lang, source, bounds): ``bounds`` has (rule, low, high) for each rule. A group of fewer than ``least_rows``
-    documents takes the quartiles of its language's merged sketches."""
+    """(lang, source, bounds): ``bounds`` has (rule, low, high) for each rule.
+
+    Quartiles are those of the group if it has ``least_rows`` documents, else those of its language's merged sketches,
+    and if that has fewer too, those of all documents.
+    """
     own = _quartiles(sketch, ["lang", "source"])
     merged = _quartiles(
         sketch.groupBy("lang", "rule", "bin").agg(F.sum("n").alias("n")), ["lang"]
-    ).select(F.col("lang").alias("l"), F.col("rule").alias("r"), F.col("q1").alias("l1"), F.col("q3").alias("l3"))
-    small = F.col("total") < least_rows
-    both = own.join(merged, F.col("lang").eqNullSafe(F.col("l")) & (F.col("rule") == F.col("r"))).select(
-        "lang",
-        "source",
-        "rule",
-        F.when(small, F.col("l1")).otherwise(F.col("q1")).alias("q1"),
-        F.when(small, F.col("l3")).otherwise(F.col("q3")).alias("q3"),
+    ).select(F.col("lang").alias("l"), F.col("rule").alias("r"), F.struct("q1", "q3", "total").alias("of_lang"))
+    whole = _quartiles(sketch.groupBy("rule", "bin").agg(F.sum("n").alias("n")), []).select(
+        F.col("rule").alias("all_rule"), F.struct("q1", "q3").alias("of_all")
+    )
+    joined = own.join(merged, F.col("lang").eqNullSafe(F.col("l")) & (F.col("rule") == F.col("r"))).join(
+        whole, F.col("rule") == F.col("all_rule")
+    )
+    pick = lambda q: (
+        F.when(F.col("total") >= least_rows, F.col(q))
+        .when(F.col("of_lang.total") >= least_rows, F.col(f"of_lang.{q}"))
+        .otherwise(F.col(f"of_all.{q}"))
     )
+    both = joined.select("lang", "source", "rule", pick("q1").alias("q1"), pick("q3").alias("q3"), "of_lang", "of_all")
     params = F.array(
-        *(F.struct(F.lit(r.least_spread).alias("least"), F.lit(r.reach).alias("reach"), F.lit(r.lower).alias("lower")) for r in RULES)
+        *(
+            F.struct(
+                F.lit(r.least_spread).alias("least"),
+                F.lit(r.reach).alias("reach"),
+                F.lit(r.lower).alias("lower"),
+                F.lit(r.common_spread).cast("int").alias("common"),
+            )
+            for r in RULES
+        )
     )[F.col("rule")]
-    beyond = params["reach"] * F.greatest(F.col("q3") - F.col("q1"), params["least"])
+    beyond = lambda q1, q3, least: params["reach"] * F.greatest(q3 - q1, least)
+    of_own = beyond(F.col("q1"), F.col("q3"), params["least"])
+    of_more = [
+        F.when(
+            params["common"].isNotNull(),
+            F.col(f"{s}.q3") + beyond(F.col(f"{s}.q1"), F.col(f"{s}.q3"), params["common"]),
+        )
+        for s in ("of_lang", "of_all")
+    ]
+    # ``least`` passes over the bounds that a rule does not have.
     return both.groupBy("lang", "source").agg(
         F.sort_array(
             F.collect_list(
                 F.struct(
                     "rule",
-                    F.when(params["lower"], F.col("q1") - beyond).otherwise(F.lit(0)).alias("low"),
-                    (F.col("q3") + beyond).alias("high"),
+                    F.when(params["lower"], F.col("q1") - of_own).otherwise(F.lit(0)).alias("low"),
+                    F.least(F.col("q3") + of_own, *of_more).alias("high"),
                 )
             )
         ).alias("bounds")

@@ -93,7 +93,7 @@ def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc.write_archives(pages, path, F.timestamp_seconds(F.pmod("page_id", F.lit(10**9))))
     return warc.merged_index(warc.read_archives(spark, path)).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "position"
     )
 
 

@@ -9,7 +9,7 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelspark.llm.common import stored
@@ -206,15 +206,17 @@ def _table(rows: list[tuple], extra: tuple[str, ...] = ()) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=[*_NAMES, *extra])
 
 
-def loser_tree(runs: list[list[tuple]], key) -> Iterator[tuple]:
-    """The items of sorted ``runs`` in one order. Each inner node keeps the run that lost there, so taking an item
-    replays one path from its run's leaf to the root; equal items come in the order of their runs."""
+def loser_tree(runs: list[Iterator[tuple]], key) -> Iterator[tuple]:
+    """The items of sorted ``runs`` in one order, read as they are needed: one item of each run is held. Each inner node
+    keeps the run that lost there, so taking an item replays one path from its run's leaf to the root; equal items
+    come in the order of their runs."""
     k = len(runs)
-    heads = [0] * k
+    runs = [iter(run) for run in runs]
+    heads: list[tuple | None] = [next(run, None) for run in runs]
     end = (1,)
 
     def front(run: int) -> tuple:
-        return (0, key(runs[run][heads[run]]), run) if heads[run] < len(runs[run]) else end
+        return end if heads[run] is None else (0, key(heads[run]), run)
 
     fronts = [front(run) for run in range(k)]
     losers, winner = [-1] * k, -1
@@ -230,8 +232,8 @@ def loser_tree(runs: list[list[tuple]], key) -> Iterator[tuple]:
         if best != -1:
             winner = best
     while k and fronts[winner] != end:
-        yield runs[winner][heads[winner]]
-        heads[winner] += 1
+        yield heads[winner]
+        heads[winner] = next(runs[winner], None)
         fronts[winner] = front(winner)
         node = (winner + k) // 2
         while node > 0:
@@ -240,15 +242,24 @@ def loser_tree(runs: list[list[tuple]], key) -> Iterator[tuple]:
             node //= 2
 
 
+def _rows(batches: list[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(column.to_pylist() for column in batch.columns))
+
+
 def merged_index(index: DataFrame, rows_per_range: int = 100_000) -> DataFrame:
-    """The index in one global order by address key, time and page: ``range`` and ``position`` in it number the rows,
-    so that an address's captures are neighbours, oldest first.
+    """The index in one global order by address key, time and page, so that an address's captures are neighbours, oldest
+    first. ``position`` numbers all rows without a gap, ``range`` the key ranges.
 
     The index is written to the shared folder first. Its rows are dealt to key ranges of about ``rows_per_range``
-    (the page id is part of the range key, so one address may span ranges), sorted per run by Spark, which spills,
-    and the k runs of a range are merged by a loser tree. A task holds the rows of one range.
+    (the page id, run and offset are part of the range key, so one address, and one page stored many times, may span
+    ranges) and sorted per run by Spark, which spills. A range's task holds its rows as Arrow batches per run, which a
+    loser tree merges as a stream. The rows written are counted per range, and these counts, one per range, are
+    added up and joined, so that the position is global. Nulls come first, repeated
+    records in the order of their archives. An empty index stays empty; columns other than those of ``read_archives``
+    are left out.
     """
-    index = stored(index, "index")
+    index = stored(index.select(*_NAMES), "index")
     ranges = max(1, -(-index.count() // rows_per_range))
     keys = ["url_key", "captured", "page_id", "run", "offset"]
     dealt = index.repartitionByRange(ranges, *keys).sortWithinPartitions(
@@ -259,21 +270,37 @@ def merged_index(index: DataFrame, rows_per_range: int = 100_000) -> DataFrame:
         return row[0], row[1], row[2] is not None, row[2] or 0, row[3], row[4]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs: list[list[tuple]] = []
-        last = None
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[3] != last:
-                    last = row[3]
-                    runs.append([])
-                runs[-1].append(row)
         number, rows = TaskContext.get().partitionId(), []
-        for position, row in enumerate(loser_tree(runs, order)):
-            rows.append((*row, number, position))
+        for place, row in enumerate(loser_tree([_rows(run) for run in _runs(batches)], order)):
+            rows.append((*row, number, place))
             if len(rows) >= 5_000:
-                yield _table(rows, ("range", "position"))
+                yield _table(rows, ("range", "place"))
                 rows = []
         if rows:
-            yield _table(rows, ("range", "position"))
-
-    return dealt.mapInArrow(run, f"{_INDEX}, range long, position long")
+            yield _table(rows, ("range", "place"))
+
+    merged = stored(dealt.mapInArrow(run, f"{_INDEX}, range long, place long"), "merged")
+    before = Window.orderBy("range")
+    starts = (
+        merged.groupBy("range")
+        .agg(F.count("*").alias("n"))
+        .select("range", (F.sum("n").over(before) - F.col("n")).alias("start"))
+    )
+    return merged.join(starts, "range").select(*_NAMES, "range", (F.col("start") + F.col("place")).alias("position"))
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> list[list[pa.RecordBatch]]:
+    """The Arrow batches of each run; they come run by run."""
+    runs: list[list[pa.RecordBatch]] = []
+    last = object()
+    for batch in batches:
+        names = batch.column(_NAMES.index("run")).to_pylist()
+        begin = 0
+        for at in range(1, len(names) + 1):
+            if at == len(names) or names[at] != names[begin]:
+                if names[begin] != last:
+                    last = names[begin]
+                    runs.append([])
+                runs[-1].append(batch.slice(begin, at - begin))
+                begin = at
+    return runs

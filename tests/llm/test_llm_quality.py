@@ -48,6 +48,45 @@ def test_thresholds_follow_the_group(spark):
     assert all(found[500 + i].base_failed or found[500 + i].kept for i in range(200)) and not found[900].kept
 
 
+def with_lines(i, lines, doubled):
+    """A text of ``lines`` lines of prose, ``doubled`` of them copies of one before."""
+    own = [prose(1000 * i + n, 9) for n in range(lines - doubled)]
+    return "\n".join(own + own[:doubled])
+
+
+def test_duplicate_lines_below_half_go_from_a_clean_source(spark):
+    rows = [(i, with_lines(i, 20, 0), "en", "clean", 1) for i in range(200)]
+    rows += [(500 + i, with_lines(500 + i, 20, 1), "en", "clean", 1) for i in range(3)]
+    # 44 percent duplicate lines, of one word each so that few words are repeated.
+    odd = [prose(700 + n, 40) for n in range(10)]
+    rows += [(900, "\n".join(odd + [w.split()[0] + "z" for w in odd[:4]] * 3), "en", "clean", 1)]
+    found = judged(spark, rows)
+    assert all(found[i].kept for i in range(200)) and all(found[500 + i].kept for i in range(3))
+    assert not found[900].base_failed and not found[900].kept
+
+
+def test_a_source_full_of_junk_does_not_set_its_own_bounds(spark):
+    def junk(i):
+        lines = [prose(5000 + 100 * i + n, 60) for n in range(8)]
+        return "\n".join(lines + ["menu", "home", "login"] * 5 + ["menu"])
+
+    rows = [(i, with_lines(i, 12, 0), "en", f"s{i % 3}", 1) for i in range(450)]
+    rows += [(1000 + i, junk(i), "en", "junk", 1) for i in range(90)]
+    rows += [(2000 + i, with_lines(2000 + i, 12, 0), "en", "junk", 1) for i in range(60)]
+    found = judged(spark, rows)
+    assert all(found[i].kept for i in range(450)) and all(found[2000 + i].kept for i in range(60))
+    assert not any(found[1000 + i].base_failed or found[1000 + i].kept for i in range(90))
+
+
+def test_small_languages_are_judged_by_all_documents(spark):
+    rows = [(i, with_lines(i, 12, 0), "en", "s", 1) for i in range(200)]
+    rows += [(500 + i, with_lines(500 + i, 12, 0), "xx", "s", 1) for i in range(4)]
+    odd = [prose(90 + n, 40) for n in range(8)]
+    rows += [(900 + i, "\n".join(odd + ["menu", "home", "login"] * 5), "xx", "s", 1) for i in range(6)]
+    found = judged(spark, rows)
+    assert all(found[500 + i].kept for i in range(4)) and not any(found[900 + i].kept for i in range(6))
+
+
 def test_sketches_merge_to_the_sketch_of_all(spark):
     df = spark.createDataFrame([(i, prose(i, 50 + i % 40), "en", f"s{i % 4}") for i in range(200)], "doc_id long, text string, lang string, source string")
     counted = quality.measured(df)

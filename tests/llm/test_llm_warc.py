@@ -53,9 +53,19 @@ def test_records_come_back_whole(spark):
 
 def test_index_is_in_one_order(spark):
     rows = [(i, f"http://h{i % 5}.org/{i % 3}", f"p{i}") for i in range(400)]
-    found = warc.merged_index(index(spark, rows), rows_per_range=50).toPandas().sort_values(["range", "position"])
+    found = warc.merged_index(index(spark, rows), rows_per_range=50).toPandas().sort_values("position")
     keys = list(zip(found.url_key, found.captured, found.page_id))
     assert keys == sorted(keys) and found.range.nunique() > 1
+    assert found.position.tolist() == list(range(400)) and found.range.is_monotonic_increasing
+
+
+def test_runs_that_hold_more_than_a_batch_are_merged_whole(spark):
+    rows = [(i, f"http://h{i * 7919 % 900}.org/", f"p{i % 700}") for i in range(6_000)]
+    both = index(spark, rows[::2]).union(index(spark, rows[1::2]))
+    found = warc.merged_index(both).toPandas().sort_values("position")
+    keys = list(zip(found.url_key, found.captured, found.page_id))
+    assert keys == sorted(keys) and sorted(found.page_id) == list(range(6_000))
+    assert found.run.nunique() > 1 and found.range.nunique() == 1
 
 
 def test_small_payloads_need_not_be_revisits(spark):
