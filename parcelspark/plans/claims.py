@@ -1,7 +1,10 @@
 """Claim files: Everpro and Mengantar.
 
-Facts of one log are taken in as few passes as their windows allow: first delivery, first return scan and
-last location are conditional aggregates of one pass, and the first problem comes with the numbered ones.
+All facts come from one conditional aggregate over a tagged union of waybills, returns, problems and scans
+(``operators.facts``): one exchange on the parcel key for all of them.
+
+``cut_logs`` cuts each log to the claimed parcels first. That is right while Spark broadcasts their numbers; with more
+parcels than that, the cut is a shuffle of each log of its own, and without it the logs travel once, partly aggregated.
 """
 
 from __future__ import annotations
@@ -12,22 +15,34 @@ from pyspark.sql import functions as F
 from parcelspark.functions import rules
 from parcelspark.functions.classify import days_between_events, destination_branch
 from parcelspark.functions.timeops import AsOf, local_time, rolling_window, since
-from parcelspark.operators.enrich import decode_option, flag_exists, latest_status_join, lookup, of_spine
-from parcelspark.operators.records import (
-    attempt_pivot, first_value, latest_record, latest_value, latest_values,
-)
+from parcelspark.operators.enrich import decode_option, lookup, of_spine
+from parcelspark.operators.facts import Log, assembled, attempt
 from parcelspark.sources.tables import Tables
 
 
+W, R, P, S = Log("_waybill"), Log("_return"), Log("_problem"), Log("_scan")
+
+
 def _is_problem_scan() -> Column:
-    return (F.col("operation_type") == rules.SCAN_PROBLEM) & (F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE)
+    return (S.col("operation_type") == rules.SCAN_PROBLEM) & (S.col("problem_type") != rules.PICKUP_PROBLEM_TYPE)
+
+
+def _facts(tables_of: dict[Log, DataFrame], cut_logs: bool, facts: dict[str, Column]) -> DataFrame:
+    """Newest waybill of each parcel and ``facts`` of its logs; waybills are the first of ``tables_of``."""
+    waybills = tables_of[W]
+    logs = {log.name: of_spine(rows, waybills) if cut_logs and log is not W else rows for log, rows in tables_of.items()}
+    kept = [c for c in waybills.columns if c not in ("waybill_no", "update_time")]
+    rows = assembled(logs, "waybill_no", {"_parcel": W.newest_record("update_time", kept), **facts})
+    return rows.select("waybill_no", *(F.col(f"_parcel.{c}").alias(c) for c in kept), *facts)
 
 
 def _local(name: str, as_of: AsOf) -> Column:
     return local_time(F.col(name), as_of.tz)
 
 
-def everpro_claims(tables: Tables, as_of: AsOf, *, days: int = 186, scan_days: int = 93) -> DataFrame:
+def everpro_claims(
+    tables: Tables, as_of: AsOf, *, days: int = 186, scan_days: int = 93, cut_logs: bool = True
+) -> DataFrame:
     """Claim file of one source: returns, problem attempts with photos, first delivery and last location."""
     options = tables["system_option"]
     waybills = rolling_window(tables["waybill_waybill"], "shipping_time", days, as_of)
@@ -39,45 +54,48 @@ def everpro_claims(tables: Tables, as_of: AsOf, *, days: int = 186, scan_days: i
         "recipient_district_id", "pod_photo_url", "pickup_branch_name", "standard_shipping_fee",
         "total_shipping_fee", "cod_amount", "item_value", "insurance_amount", "handling_fee", "other_fee",
     )
-    parcels = latest_record(waybills, "waybill_no", "update_time").drop("update_time")
-    parcels = decode_option(parcels, "void_flag", options, "voidFlag", "void_status")
-    parcels = lookup(
-        parcels, tables["masterdata_branch_coverage_th"], {"recipient_district_id": "district_id"},
-        {"covered_branch": "branch_name"},
-    )
-
-    returns = rolling_window(tables["waybill_return_bill"], "update_time", days, as_of)
-    newest_return = latest_values(
-        of_spine(returns, waybills), "waybill_no", "return_record_time",
-        {"return_regist": "return_record_time", "return_confirm": "return_confirm_record_time",
-         "return_pod": "return_pod_record_time"},
+    returns = rolling_window(tables["waybill_return_bill"], "update_time", days, as_of).select(
+        "waybill_no", "return_record_time", "return_confirm_record_time", "return_pod_record_time"
     )
-
     problems = rolling_window(tables["waybill_problem_piece"], "operation_time", days, as_of)
-    problems = of_spine(problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE), waybills)
-    attempts = attempt_pivot(
-        problems, "waybill_no", "operation_time", {"pos_reason": "problem_reason"}, 3, time_name="pos_attempt",
-        firsts={"first_pos_reason": "problem_reason", "first_pos_location": "operation_branch_name"},
+    problems = problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE).select(
+        "waybill_no", "operation_time", "problem_reason", "operation_branch_name"
     )
-
     scans = rolling_window(tables["waybill_waybill_line"], "record_time", max(days, scan_days), as_of).select(
         "waybill_no", "record_time", "operation_type", "problem_type", "operation_branch_name", "photo_url"
     )
-    scans = decode_option(of_spine(scans, waybills), "operation_type", options, "operationType", "_activity")
-    in_long = since(scans, "record_time", as_of.days_back(days), as_of.tz)
-    in_short = since(scans, "record_time", as_of.days_back(scan_days), as_of.tz)
-    delivery = F.col("operation_type") == rules.SCAN_DELIVERY
-    marks = scans.where(in_short).groupBy("waybill_no").agg(
-        F.min(F.when(delivery, F.col("record_time"))).alias("first_deliv_attempt"),
-        latest_value("record_time", "operation_branch_name").alias("last_location"),
-        latest_value("record_time", "_activity").alias("last_activity"),
-        F.max("record_time").alias("last_scan_time"),
-    )
-    photos = attempt_pivot(
-        scans.where(in_long & _is_problem_scan()), "waybill_no", "record_time", {"pos_photo_url": "photo_url"}, 3,
-        firsts={"first_pos_photo_url": "photo_url"},
+    scans = scans.withColumns({
+        "in_long": since(scans, "record_time", as_of.days_back(days), as_of.tz),
+        "in_short": since(scans, "record_time", as_of.days_back(scan_days), as_of.tz),
+    })
+    scans = decode_option(scans, "operation_type", options, "operationType", "activity")
+
+    delivery, short = S.col("operation_type") == rules.SCAN_DELIVERY, S.col("in_short")
+    photographed = S.col("in_long") & _is_problem_scan()
+    rows = _facts({W: waybills, R: returns, P: problems, S: scans}, cut_logs, {
+        "return_regist": R.newest("return_record_time", "return_record_time"),
+        "return_confirm": R.newest("return_record_time", "return_confirm_record_time"),
+        "return_pod": R.newest("return_record_time", "return_pod_record_time"),
+        "_reasons": P.attempts("operation_time", "problem_reason", 3),
+        "first_pos_reason": P.oldest("operation_time", "problem_reason"),
+        "first_pos_location": P.oldest("operation_time", "operation_branch_name"),
+        "first_deliv_attempt": S.oldest_time("record_time", short & delivery),
+        "last_location": S.newest("record_time", "operation_branch_name", short),
+        "last_activity": S.newest("record_time", "activity", short),
+        "last_scan_time": S.newest_time("record_time", short),
+        "_photos": S.attempts("record_time", "photo_url", 3, photographed),
+        "first_pos_photo_url": S.oldest("record_time", "photo_url", photographed),
+    })
+    rows = rows.withColumns({
+        **{f"pos_attempt_{i}": attempt("_reasons", i, "time") for i in (1, 2, 3)},
+        **{f"pos_reason_{i}": attempt("_reasons", i) for i in (2, 3)},
+        **{f"pos_photo_url_{i}": attempt("_photos", i) for i in (2, 3)},
+    })
+    rows = decode_option(rows, "void_flag", options, "voidFlag", "void_status")
+    rows = lookup(
+        rows, tables["masterdata_branch_coverage_th"], {"recipient_district_id": "district_id"},
+        {"covered_branch": "branch_name"},
     )
-    rows = latest_status_join(parcels, newest_return, attempts, marks, photos)
     # A first problem photo belongs to a parcel with a recorded problem.
     first_photo = F.when(F.col("pos_attempt_1").isNotNull(), F.col("first_pos_photo_url"))
     th_destination = destination_branch(
@@ -109,7 +127,7 @@ def everpro_claims(tables: Tables, as_of: AsOf, *, days: int = 186, scan_days: i
     )
 
 
-def mengantar_claims(tables: Tables, as_of: AsOf, *, days: int = 93) -> DataFrame:
+def mengantar_claims(tables: Tables, as_of: AsOf, *, days: int = 93, cut_logs: bool = True) -> DataFrame:
     """Claim file of two source codes: problem flags, four attempts, first delivery and return scans."""
     options = tables["system_option"]
     waybills = rolling_window(tables["waybill_waybill"], "shipping_time", days, as_of)
@@ -118,38 +136,39 @@ def mengantar_claims(tables: Tables, as_of: AsOf, *, days: int = 93) -> DataFram
         "pod_photo_url", F.col("waybill_source").alias("_source"), "void_flag", "recipient_address",
         "recipient_district_id",
     )
-    parcels = latest_record(waybills, "waybill_no", "update_time").drop("update_time")
-    parcels = decode_option(parcels, "_source", options, "waybillSource", "waybill_source")
-    parcels = decode_option(parcels, "void_flag", options, "voidFlag", "void_status")
-    parcels = lookup(
-        parcels, tables["masterdata_branch_coverage_th"], {"recipient_district_id": "district_id"},
-        {"covered_branch": "branch_name"},
-    )
-
-    scans = of_spine(rolling_window(tables["waybill_waybill_line"], "record_time", days, as_of), waybills)
-    delivery = F.col("operation_type") == rules.SCAN_DELIVERY
-    returned = F.col("operation_type") == rules.SCAN_RETURN
-    firsts = scans.where(delivery | returned).groupBy("waybill_no").agg(
-        F.min(F.when(delivery, F.col("record_time"))).alias("first_delivery"),
-        first_value("record_time", "operation_branch_name", delivery).alias("first_deliv_branch"),
-        F.min(F.when(returned, F.col("record_time"))).alias("first_return"),
-        first_value("record_time", "operation_branch_name", returned).alias("first_regist_return_branch"),
-    )
-    attempts = attempt_pivot(
-        scans.where(_is_problem_scan()), "waybill_no", "record_time",
-        {"pos_reason": "register_reason_bahasa", "pos_photo_url": "photo_url"}, 4,
-    )
-    rows = latest_status_join(parcels, firsts, attempts)
-
     problems = rolling_window(tables["waybill_problem_piece"], "operation_time", days, as_of)
-    problems = of_spine(problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE), waybills)
-    rows = flag_exists(
-        rows, problems,
-        {
-            "apakah_ada_pos_alamat_penerima_tidak_jelas_tidak_dapat_ditemukan": rules.BAD_ADDRESS_REASONS,
-            "apakah_ada_POS_paket_hilang": rules.LOST_REASONS,
-            "apakah_ada_POS_paket_hilang_ditemukan": rules.FOUND_REASONS,
-        },
+    problems = problems.where(F.col("problem_type") != rules.PICKUP_PROBLEM_TYPE).select("waybill_no", "problem_reason")
+    scans = rolling_window(tables["waybill_waybill_line"], "record_time", days, as_of).select(
+        "waybill_no", "record_time", "operation_type", "problem_type", "operation_branch_name",
+        "register_reason_bahasa", "photo_url",
+    )
+
+    delivery = S.col("operation_type") == rules.SCAN_DELIVERY
+    returned = S.col("operation_type") == rules.SCAN_RETURN
+    flags = {
+        "apakah_ada_pos_alamat_penerima_tidak_jelas_tidak_dapat_ditemukan": rules.BAD_ADDRESS_REASONS,
+        "apakah_ada_POS_paket_hilang": rules.LOST_REASONS,
+        "apakah_ada_POS_paket_hilang_ditemukan": rules.FOUND_REASONS,
+    }
+    rows = _facts({W: waybills, P: problems, S: scans}, cut_logs, {
+        "first_delivery": S.oldest_time("record_time", delivery),
+        "first_deliv_branch": S.oldest("record_time", "operation_branch_name", delivery),
+        "first_return": S.oldest_time("record_time", returned),
+        "first_regist_return_branch": S.oldest("record_time", "operation_branch_name", returned),
+        "_reasons": S.attempts("record_time", "register_reason_bahasa", 4, _is_problem_scan()),
+        "_photos": S.attempts("record_time", "photo_url", 4, _is_problem_scan()),
+        **{name: P.present(P.col("problem_reason").isin(*reasons)) for name, reasons in flags.items()},
+    })
+    rows = rows.withColumns({
+        **{f"pos_reason_{i}": attempt("_reasons", i) for i in range(1, 5)},
+        **{f"pos_photo_url_{i}": attempt("_photos", i) for i in range(1, 5)},
+        **{name: F.when(F.col(name), "Yes").otherwise("No") for name in flags},
+    })
+    rows = decode_option(rows, "_source", options, "waybillSource", "waybill_source")
+    rows = decode_option(rows, "void_flag", options, "voidFlag", "void_status")
+    rows = lookup(
+        rows, tables["masterdata_branch_coverage_th"], {"recipient_district_id": "district_id"},
+        {"covered_branch": "branch_name"},
     )
     pod, tried = F.col("pod_record_time").isNotNull(), F.col("first_delivery").isNotNull()
     branch = destination_branch(

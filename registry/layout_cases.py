@@ -1,4 +1,5 @@
-"""Reports over written layouts: a bucketed stage table, and logs by month. Their statements are those of the reports."""
+"""Reports over written layouts and by other ways: a bucketed stage table, logs by month, logs that are not cut to the
+parcels first. Their statements are those of the reports."""
 
 from __future__ import annotations
 
@@ -7,11 +8,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelspark.plans import backlog, cargo
+from parcelspark.plans import backlog, cargo, claims
 from parcelspark.sources import daylogs, stages
 from parcelspark.sources.states import shared_folder
 from registry.base import ALL_DAYS, AS_OF, ORACLES, QUERIES, comparable
-from registry.job_cases import _SYSTEM_DATES
+from registry.job_cases import _SYSTEM_DATES, SHORT_DAYS
 from registry.standins import Standins
 
 # Hot bags of the given tables are small; the limit lets the largest take the way of hot ones.
@@ -65,3 +66,13 @@ def _(s):
     for name, ts in LOGS.items():
         daylogs.write_log(s[name], f"{root}/{name}", ts, "month")
     return backlog.backlog_ops(daylogs.with_logs(s, root, LOGS, "month"), AS_OF, days=ALL_DAYS)
+
+
+@same_as("d6_everpro_claims", "d6_uncut_logs")
+def _(s):
+    return claims.everpro_claims(s, AS_OF, days=ALL_DAYS, scan_days=SHORT_DAYS, cut_logs=False)
+
+
+@same_as("d7_mengantar_claims", "d7_uncut_logs")
+def _(s):
+    return claims.mengantar_claims(s, AS_OF, days=ALL_DAYS, cut_logs=False)
