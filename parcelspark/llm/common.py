@@ -55,6 +55,21 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+# Keys above this share of all rows are listed; there are fewer of them than this number.
+_SHARE = 10_000
+
+
+def met(rows: DataFrame, side: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """``rows.join(side, keys)`` of two stored tables, where ``side`` has one row per key and holds in ``n`` how many of
+    the ``total`` rows have it. Rows of keys above a ten-thousandth of all stay where they are and meet a broadcast of
+    these keys, which are fewer than 10,000 at any size; so no task of the shuffled join gets many rows of one key.
+    """
+    hot = F.col("n") * F.lit(_SHARE) > F.lit(total)
+    listed, usual = F.broadcast(side.where(hot)), side.where(~hot)
+    plain = rows.join(F.broadcast(side.where(hot).select(*keys)), keys, "left_anti").join(usual, keys)
+    return rows.join(listed, keys).unionByName(plain).drop("n")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node that can be reached over ``links`` (a, b), for nodes that have a link.
 

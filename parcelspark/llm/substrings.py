@@ -6,7 +6,8 @@ share a selected k-mer, at one place in it. Selected k-mers are the graph's node
 document an edge; they overlap, so an edge fixes all words it spans. k-mers of a single document are dropped at
 once. Paths along which every occurrence continues alike are compacted into one, and an occurrence of such a path is
 one long span. A window within it repeats wherever the path does; windows across a path's end are compared one by
-one. Each span and each such window is verified by a 128-bit digest of its words at its coordinates.
+one. Each span and each such window is verified by a 128-bit digest of its words at its coordinates, made of two
+unlike 64-bit hashes of each word.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.llm import words
-from parcelspark.llm.common import cols, dropped, free, stored
+from parcelspark.llm.common import cols, dropped, free, met, stored
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -69,7 +70,8 @@ def _nodes(rows: DataFrame, window: int, k: int) -> DataFrame:
 
 
 def _paths(occurrences: DataFrame) -> DataFrame:
-    """(node, head, off): the first node of the compacted path that a node lies on, and the words between them.
+    """(node, head, off, n): the first node of the compacted path that a node lies on, the words between them, and the
+    node's occurrences.
 
     u and v are joined if every occurrence of u is followed by v at one distance and v occurs as often as u: then
     each occurrence of v follows one of u. Paths are found by pointer jumping: each round joins every node with the
@@ -92,7 +94,9 @@ def _paths(occurrences: DataFrame) -> DataFrame:
     open_ends = stored(
         nodes.select("node", "n")
         .join(forth, ["node", "n"], "left")
-        .select("node", F.coalesce("head", "node").alias("head"), F.coalesce("off", F.lit(0)).cast("long").alias("off")),
+        .select(
+            "node", F.coalesce("head", "node").alias("head"), F.coalesce("off", F.lit(0)).cast("long").alias("off"), "n"
+        ),
         "paths",
     )
     dropped(nodes)
@@ -100,7 +104,11 @@ def _paths(occurrences: DataFrame) -> DataFrame:
         ahead = open_ends.select(F.col("node").alias("head"), F.col("head").alias("h"), F.col("off").alias("o"))
         jumped = stored(
             open_ends.join(ahead, "head").select(
-                "node", F.col("h").alias("head"), (F.col("off") + F.col("o")).alias("off"), (F.col("h") != F.col("head")).alias("moved")
+                "node",
+                F.col("h").alias("head"),
+                (F.col("off") + F.col("o")).alias("off"),
+                "n",
+                (F.col("h") != F.col("head")).alias("moved"),
             ),
             "paths",
         )
@@ -121,7 +129,9 @@ def _items(docs: DataFrame, window: int, k: int) -> DataFrame:
         for batch in batches:
             made: list[list] = [[] for _ in names]
             for doc, crc, packed, spans in zip(*(words.each(c) for c in batch.columns)):
-                own = words.hashed(words.split(zlib.decompress(packed)))
+                data = zlib.decompress(packed)
+                # Two hashes of each word that know nothing of each other, one for each half of a digest.
+                own, other = words.hashed(words.split(data)), words.spelled(data)
                 kmers = words.Runs(own).each(k)
                 nearest = _smallest(kmers, window - k + 1)
                 low = np.full(len(kmers), -1)
@@ -138,7 +148,7 @@ def _items(docs: DataFrame, window: int, k: int) -> DataFrame:
                 across = (low[nearest] >= 0) & ((begin < low[nearest]) | (begin + window > high[nearest]))
                 start = np.concatenate([np.array(starts, np.int64), begin[across]])
                 end = np.concatenate([np.array(ends, np.int64), begin[across] + window])
-                a, b = (words.signed(words.Runs(own, lane).of(start, end)) for lane in (0, 1))
+                a, b = (words.signed(words.Runs(h, lane).of(start, end)) for lane, h in enumerate((own, other)))
                 order = np.lexsort((start, b, a))
                 a, b, start, end = a[order], b[order], start[order], end[order]
                 opens = np.ones(len(a), bool)
@@ -195,20 +205,23 @@ def repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
         "doc IS NOT NULL AND text IS NOT NULL"
     )
     nodes = stored(_nodes(rows, window, k), "kmers")
-    repeated = nodes.groupBy("node").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x < y").select("node")
-    occurrences = stored(nodes.join(repeated, "node"), "occurrences")
+    repeated = nodes.groupBy("node").agg(F.min("doc").alias("x"), F.max("doc").alias("y"), F.count("*").alias("n"))
+    repeated = stored(repeated.where("x < y").select("node", "n"), "repeated")
+    occurrences = stored(met(nodes, repeated, ["node"], nodes.count()), "occurrences")
     dropped(nodes)
+    dropped(repeated)
     paths = _paths(occurrences)
     on_path = (
-        occurrences.join(paths, "node")
+        met(occurrences, paths, ["node"], occurrences.count())
         .groupBy("doc", "crc", "head", (F.col("pos") - F.col("off")).alias("at"))
         .agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
     )
     per_doc = on_path.groupBy("doc", "crc").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     items = stored(_items(_zipped(rows).join(per_doc, ["doc", "crc"]), window, k), "items")
-    sources = items.groupBy("a", "b").agg(F.min("doc").alias("source"), F.max("doc").alias("y")).where("source < y").drop("y")
+    sources = items.groupBy("a", "b").agg(F.min("doc").alias("source"), F.max("doc").alias("y"), F.count("*").alias("n"))
+    sources = stored(sources.where("source < y").drop("y"), "sources")
     spans = (
-        items.join(sources, ["a", "b"])
+        met(items, sources, ["a", "b"], items.count())
         .where("source < doc")
         .groupBy("doc", "crc")
         .agg(F.collect_list(F.struct("start", "end", "more")).alias("spans"))

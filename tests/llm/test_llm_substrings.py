@@ -4,8 +4,10 @@ import random
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
-from parcelspark.llm import substrings
+from parcelspark.llm import common, substrings
+from parcelspark.llm import words as word_hashes
 
 
 def expected(docs, window):
@@ -67,3 +69,41 @@ def test_one_id_with_two_texts(spark):
     rows = [(1, shared), (2, shared + " tail"), (2, "head " + shared)]
     found = substrings.digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.n_removed) for r in found) == [(1, 0), (2, 60), (2, 60)]
+
+
+def test_words_that_collide_in_one_hash_stay_apart(spark, monkeypatch):
+    """The halves of a digest, made as ``_items`` makes them: where one hash takes all words for one, the other does not."""
+    draw = random.Random(3)
+    first, second = words(draw, 50), words(draw, 50)
+    monkeypatch.setattr(word_hashes, "hashed", lambda own: word_hashes.np.ones(len(own), word_hashes.np.uint64))
+    digests = []
+    for own in (first, second, first):
+        data = " ".join(own).encode()
+        halves = (word_hashes.hashed(word_hashes.split(data)), word_hashes.spelled(data))
+        whole = word_hashes.np.array([0]), word_hashes.np.array([50])
+        digests.append(tuple(int(word_hashes.Runs(h, lane).of(*whole)[0]) for lane, h in enumerate(halves)))
+    assert digests[0][0] == digests[1][0] and digests[0] != digests[1] and digests[0] == digests[2]
+
+
+def test_rows_of_hot_keys_are_not_shuffled(spark, tmp_path):
+    """A third of the rows have one key: no task of the join gets more than five times the median."""
+    i = F.col("id")
+    rows = spark.range(0, 60_000, 1, 6).select(F.when(i % 3 == 0, -1).otherwise(i % 25_000).alias("k"), i.alias("v"))
+    rows.write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    rows.groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("m")).where("k % 2 = 0 OR k < 0").write.parquet(f"{tmp_path}/side")
+    side = spark.read.parquet(f"{tmp_path}/side")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = common.met(rows, side, ["k"], rows.count())
+        plain = rows.join(side.drop("n"), "k")
+        assert sorted(joined.collect()) == sorted(plain.select(*joined.columns).collect())
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert sizes[-1] <= 5 * sizes[len(sizes) // 2]
+        assert common.met(rows, side.limit(0), ["k"], 60_000).count() == common.met(rows.limit(0), side, ["k"], 0).count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
