@@ -198,7 +198,9 @@ def read_back(formatted: DataFrame, template: Template = INST) -> DataFrame:
     ``formatted_chars``, ``valid``.
 
     Turns are parsed from the written text, between a turn's control strings; roles come from these strings too.
-    Works on the partitions that ``segments`` made, in their order, and holds one turn at a time.
+    Works on the partitions that ``segments`` made, in their order, and holds one turn at a time. Where segments are
+    missing, repeated, out of order or apart from the rest of their conversation (as after a shuffle or a reread of
+    split files), it fails. Null texts were written as empty ones; no rows give no rows.
     """
     import hashlib
 
@@ -215,10 +217,14 @@ def read_back(formatted: DataFrame, template: Template = INST) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, chars, loss_chars, turns, trained, written = 0, 0, 0, hashlib.sha256(), hashlib.sha256(), []
+        expected, current = 0, None
         for batch in batches:
             rows = []
             columns = (batch.column(i).to_pylist() for i in range(batch.num_columns))
-            for conv, _, _, _, kind, content, loss, _, valid, last in zip(*columns):
+            for conv, segment, _, _, kind, content, loss, _, valid, last in zip(*columns):
+                if segment != expected or (segment and conv != current and conv == conv):
+                    raise ValueError(f"segment {segment} of conversation {conv} where {expected} of {current} must follow")
+                expected, current = (0, None) if last else (segment + 1, conv)
                 written.append(content)
                 chars += len(content)
                 if loss:
@@ -237,5 +243,7 @@ def read_back(formatted: DataFrame, template: Template = INST) -> DataFrame:
                 found = list(zip(*rows))
                 types = [batch.schema.field(0).type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, types)], names=out.names)
+        if expected:
+            raise ValueError(f"conversation {current} ends before its segment {expected}")
 
     return formatted.mapInArrow(run, out)

@@ -74,3 +74,18 @@ def test_ties_repeats_null_keys_and_empty(spark):
     said = [r.content for r in chat.segments(df).where("conv_id IS NULL AND kind = 'text'").orderBy("segment").collect()]
     assert said == ["a", "a", "b"]
     assert chat.segments(df.limit(0)).count() == 0
+
+
+def test_segments_out_of_place_are_refused(spark):
+    written = chat.segments(table(spark)).coalesce(1).sortWithinPartitions("conv_id", "segment").cache()
+    whole = {r.conv_id: r.turns_sha256 for r in chat.read_back(written).collect()}
+    assert whole == {r.conv_id: r.turns_sha256 for r in chat.read_back(chat.segments(table(spark))).collect()}
+    assert chat.read_back(written.limit(0)).count() == 0
+    for broken in (
+        written.sortWithinPartitions("segment", "conv_id"),
+        written.where("NOT (conv_id = 2 AND segment = 3)"),
+        written.where("NOT (conv_id = 2 AND last)"),
+        written.union(written.where("conv_id = 2")).coalesce(1).sortWithinPartitions("conv_id", "segment"),
+    ):
+        with pytest.raises(Exception, match="must follow|ends before"):
+            chat.read_back(broken).collect()

@@ -15,10 +15,10 @@ SF = "/root/testdata/sf0.001"
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-def test_registry_has_the_ten_queries_and_the_pipeline():
+def test_registry_has_the_thirteen_queries_and_the_pipeline():
     names = set(driver.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "substring_dedup", "secret_scan", "best_fit_packing"]
 
 
