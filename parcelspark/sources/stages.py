@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 from parcelspark.operators import skew
 
+BUCKET_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class Stage:
@@ -44,25 +46,30 @@ def _opened(spark: SparkSession, path: str, shape: T.StructType, keys: Sequence[
     by = ", ".join(f"`{key}`" for key in keys)
     place = path.replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{place}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet OPTIONS (compression 'zstd') CLUSTERED BY ({by}) "
+        f"INTO {buckets} BUCKETS LOCATION '{place}'"
     )
     return spark.table(name)
 
 
-def write_stage(df: DataFrame, path: str, keys: Sequence[str], buckets: int, hot_rows: int = skew.HOT_ROWS) -> Stage:
+def write_stage(
+    df: DataFrame, path: str, keys: Sequence[str], buckets: int, hot_rows: int = skew.HOT_ROWS, bucket_rows: int = BUCKET_ROWS
+) -> Stage:
     """Writes ``df`` under ``path`` bucketed by ``keys`` and opens it.
 
     ``df`` is evaluated once, into plain rows that are removed again: the sketch of heavy keys reads their key columns,
     then keys of more than ``hot_rows`` rows (NULL among them) are written aside in as many files as they came in, and
-    the rest in one file per bucket. Buckets should be as many as keep one in a task's memory. A stage is written once;
-    a new run takes a new folder, and a run that was lost midway leaves one that ``read_stage`` refuses.
+    the rest in one file per bucket. There are ``buckets`` of them, and more where they would get over ``bucket_rows`` rows
+    each on average, so that what a task sorts and reads does not grow with the stage. A stage is written once; a new run
+    takes a new folder, and a run that was lost midway leaves one that ``read_stage`` refuses.
     """
     spark = df.sparkSession
-    df.write.parquet(f"{path}/rows")
+    df.write.option("compression", "zstd").parquet(f"{path}/rows")
     rows = spark.read.schema(df.schema).parquet(f"{path}/rows")
+    buckets = max(buckets, -(-rows.count() // bucket_rows))
     skew.heavy_keys(rows, *keys, hot_rows=hot_rows, nulls=True).write.parquet(f"{path}/hot_keys")
     usual, hot = skew.parted(rows, spark.read.schema("_hot_key string").parquet(f"{path}/hot_keys"), *keys)
-    hot.write.parquet(f"{path}/hot")
+    hot.write.option("compression", "zstd").parquet(f"{path}/hot")
     _opened(spark, f"{path}/usual", df.schema, keys, buckets)
     usual.repartition(buckets, *keys).write.insertInto("stage_" + hashlib.md5(f"{path}/usual".encode()).hexdigest())
     layout = json.dumps({"keys": list(keys), "buckets": buckets, "schema": df.schema.jsonValue()})

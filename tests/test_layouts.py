@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -95,6 +96,14 @@ def test_stage_side_has_no_exchange(spark, tmp_path, rows, left, shuffled_joins)
     assert nodes(text, "Exchange") == 2
 
 
+def test_buckets_grow_with_the_rows(spark, tmp_path, rows, left):
+    path = f"file://{tmp_path}/s"
+    stage = stages.write_stage(rows, path, ("k", "m"), 4, 10**9, bucket_rows=500)
+    assert json.loads(spark.read.text(f"{path}/layout").first()["value"])["buckets"] == 12
+    assert listed(stage.rows()) == listed(rows)
+    assert listed(stages.left_join(left, stage, ON)) == listed(plain(left, rows))
+
+
 def test_stage_opens_in_another_session_and_only_when_finished(spark, tmp_path, rows):
     path = f"file://{tmp_path}/s"
     stages.write_stage(rows, path, ("k", "m"), 5, 500)
