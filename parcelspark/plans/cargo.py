@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.functions import rules
@@ -64,6 +64,31 @@ def smu_hub_names(tables: Tables) -> DataFrame:
     return hub_names(_sheet(tables), tables["a_mh_facility_name_rnd"])
 
 
+# The report's columns in order. Rows of one lane share most of their texts, so next to one another they compress best.
+_SYSTEM_COLUMNS = (
+    "bm_vm_awb", "bm_vm_concat", "bag_no", "vehicle_tag_no", "waybill_no", "shipping_time", "express_type", "record_time",
+    "standard_shipping_fee", "handling_fee", "other_fee", "insurance_amount", "total_shipping_fee", "system_weight",
+    "system_sf", "sender_province_name", "sender_city_name", "sender_district_name", "pickup_branch_name",
+    "recipient_province_name", "recipient_city_name", "recipient_district_name", "pod_branch_name", "pod_record_time",
+    "return_flag", "return_pod_record_time", "return_pod_branch_name", "pod_or_return_pod_branch", "mh_sending", "mh_arrival",
+)
+_LANE = ("sender_city_name", "sender_district_name", "recipient_city_name", "recipient_district_name")
+
+
+def _derived() -> dict[str, Column]:
+    """Columns of the report that others of the same row give. They are made after a shuffle, not moved by it."""
+    bag, vehicle = F.col("bag_no"), F.col("vehicle_tag_no")
+    pod, returned = F.col("pod_record_time").isNotNull(), F.col("return_pod_record_time").isNotNull()
+    return {
+        "bm_vm_awb": joined_key(bag, vehicle, F.col("waybill_no")),
+        "bm_vm_concat": joined_key(bag, vehicle),
+        "system_sf": F.col("standard_shipping_fee") + F.col("handling_fee"),
+        "pod_or_return_pod_branch": destination_branch(
+            (pod, F.col("pod_branch_name")), (returned, F.col("return_pod_branch_name"))
+        ),
+    }
+
+
 def smu_system(
     tables: Tables,
     as_of: AsOf,
@@ -78,6 +103,7 @@ def smu_system(
 
     Membership, sending hub and arrival hub come from one aggregate over the scan log, where three joined
     copies of it would do the same. Where several scans qualify, the smallest date and hub names are taken.
+    Scans are shuffled once, by the waybill: that serves the aggregate and the join with the waybills.
     """
     scans = tables["waybill_waybill_line"]
     scans = fixed_window(scans, "record_time", min(sending_from, scans_from), scans_to)
@@ -88,11 +114,18 @@ def smu_system(
     arrived = at_hub & (F.col("operation_type") == rules.SCAN_ARRIVAL) & member
     bags = (
         scans.where(F.col("bag_no") != "")
+        .select(
+            "bag_no", "vehicle_tag_no", "waybill_no",
+            F.when(member, F.col("record_time")).alias("record_time"),
+            F.when(sent, F.col("operation_branch_name")).alias("mh_sending"),
+            F.when(arrived, F.col("operation_branch_name")).alias("mh_arrival"),
+        )
+        .repartition("waybill_no")
         .groupBy("bag_no", "vehicle_tag_no", "waybill_no")
         .agg(
-            F.min(F.when(member, F.col("record_time"))).alias("record_time"),
-            F.min(F.when(sent, F.col("operation_branch_name"))).alias("mh_sending"),
-            F.min(F.when(arrived, F.col("operation_branch_name"))).alias("mh_arrival"),
+            F.min("record_time").alias("record_time"),
+            F.min("mh_sending").alias("mh_sending"),
+            F.min("mh_arrival").alias("mh_arrival"),
         )
         .where(F.col("record_time").isNotNull())
     )
@@ -110,34 +143,34 @@ def smu_system(
     rows = bags.join(latest_record(waybills, "waybill_no", "update_time"), "waybill_no", "inner")
     rows = decode_option(rows, "_express", options, "expressType", "express_type")
     rows = decode_option(rows, "_return", options, "returnFlag", "return_flag")
-    pod, returned = F.col("pod_record_time").isNotNull(), F.col("return_pod_record_time").isNotNull()
-    bag, vehicle = F.col("bag_no"), F.col("vehicle_tag_no")
     return rows.select(
-        joined_key(bag, vehicle, F.col("waybill_no")).alias("bm_vm_awb"),
-        joined_key(bag, vehicle).alias("bm_vm_concat"),
         "bag_no", "vehicle_tag_no", "waybill_no",
         local_date(F.col("shipping_time"), as_of.tz).alias("shipping_time"),
         "express_type",
         local_date(F.col("record_time"), as_of.tz).alias("record_time"),
         "standard_shipping_fee", "handling_fee", "other_fee", "insurance_amount", "total_shipping_fee",
         F.col("item_calculated_weight").cast("decimal(38,9)").alias("system_weight"),
-        (F.col("standard_shipping_fee") + F.col("handling_fee")).alias("system_sf"),
         "sender_province_name", "sender_city_name", "sender_district_name", "pickup_branch_name",
         "recipient_province_name", "recipient_city_name", "recipient_district_name", "pod_branch_name",
         local_date(F.col("pod_record_time"), as_of.tz).alias("pod_record_time"),
         "return_flag",
         local_date(F.col("return_pod_record_time"), as_of.tz).alias("return_pod_record_time"),
-        "return_pod_branch_name",
-        destination_branch((pod, F.col("pod_branch_name")), (returned, F.col("return_pod_branch_name"))).alias(
-            "pod_or_return_pod_branch"
-        ),
-        "mh_sending", "mh_arrival",
-    )
+        "return_pod_branch_name", "mh_sending", "mh_arrival",
+    ).withColumns(_derived()).select(*_SYSTEM_COLUMNS)
+
+
+def stage_system(system: DataFrame, path: str, buckets: int, hot_rows: int = HOT_ROWS) -> Stage:
+    """Writes the system bags as a stage bucketed by ``STAGE_KEYS`` and opens it. It holds the columns that the others do
+    not give, each task's rows by lane."""
+    own = system.drop(*_derived()).sortWithinPartitions(*_LANE)
+    written = stages.write_stage(own, path, STAGE_KEYS, buckets, hot_rows)
+    return written.mapped(lambda rows: rows.withColumns(_derived()).select(*_SYSTEM_COLUMNS))
 
 
 def smu_system_sorted(system: DataFrame) -> DataFrame:
     """The report order of the system bags. Stage tables skip the global sort."""
-    return system.orderBy("bag_no", "waybill_no")
+    ordered = system.drop(*_derived()).orderBy("bag_no", "waybill_no")
+    return ordered.withColumns(_derived()).select(*system.columns)
 
 
 def smu_bag_level(hub_sheet: DataFrame, system: DataFrame | Stage) -> DataFrame:
@@ -171,9 +204,15 @@ def smu_waybill_level(tables: Tables, system: DataFrame | Stage, *, hot_rows: in
     more than ``hot_rows`` are spread over many tasks. A bucketed stage (by ``STAGE_KEYS``) is not shuffled, and its own
     list of hot bags counts."""
 
+    later = {name: _derived()[name] for name in ("bm_vm_concat", "system_sf")}
+    names = [{**_ORIGIN, **_DESTINATION}.get(name, name) for name in _WAYBILL_LEVEL]
+
     def waybills(rows: DataFrame) -> DataFrame:
-        return rows.select(*_WAYBILL_LEVEL).withColumnsRenamed({**_ORIGIN, **_DESTINATION})
+        return rows.select(*(c for c in _WAYBILL_LEVEL if c not in later)).withColumnsRenamed({**_ORIGIN, **_DESTINATION})
 
+    sheet = _sheet(tables)
     if isinstance(system, Stage):
-        return stages.left_join(_sheet(tables), system.mapped(waybills), _SHEET_KEYS)
-    return manifest_match(_sheet(tables), waybills(system), hot_rows=hot_rows)
+        joined = stages.left_join(sheet, system.mapped(waybills), _SHEET_KEYS)
+    else:
+        joined = manifest_match(sheet, waybills(system), hot_rows=hot_rows)
+    return joined.withColumns(later).select(*sheet.columns, *names)

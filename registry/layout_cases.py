@@ -42,7 +42,7 @@ def _folder(s: Standins, kind: str) -> str:
 
 def _system(s: Standins) -> stages.Stage:
     system = cargo.smu_system(s, AS_OF, **_SYSTEM_DATES)
-    return stages.write_stage(system, _folder(s, "system"), cargo.STAGE_KEYS, BUCKETS, HOT_BAG)
+    return cargo.stage_system(system, _folder(s, "system"), BUCKETS, HOT_BAG)
 
 
 @same_as("d11_smu_system", "d11_staged")

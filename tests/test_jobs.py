@@ -330,6 +330,40 @@ def test_cargo_chain(carrier):
     assert sorted((r.bm_code or "", r.waybill_no or "") for r in level) == [("", ""), ("B1", "a"), ("B1", "b"), ("B9", "")]
 
 
+def exchanges(df):
+    """(partitioning, columns) of each shuffle of a plan without adaptive execution."""
+    found = []
+
+    def walk(node):
+        if node.nodeName() == "Exchange":
+            found.append((node.outputPartitioning().toString(), node.output().toString()))
+        for n in range(node.children().size()):
+            walk(node.children().apply(n))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_system_bags_move_their_own_columns_only(carrier, spark):
+    """Scans are shuffled once, by the waybill; neither the sort nor the join with the sheet moves derived columns."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        tables = carrier(waybill_waybill_line=[], waybill_waybill=[], smu_template_2=[])
+        system = cargo.smu_system(tables, AS_OF)
+        assert not any("bag_no" in how for how, _ in exchanges(system))
+        assert sum("waybill_no" in how for how, _ in exchanges(system)) == 2
+        (columns,) = [columns for how, columns in exchanges(cargo.smu_system_sorted(system)) if "range" in how]
+        assert "bm_vm" not in columns and "system_sf" not in columns
+        joined = [columns for how, columns in exchanges(cargo.smu_waybill_level(tables, system)) if "vehicle_tag_no" in how]
+        assert joined and not any("bm_vm_concat" in columns or "system_sf" in columns for columns in joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 OPS = [option("operationType", "04", "Sending scan"), option("operationType", "05", "Arrival scan"), option("operationType", "06", "Unloading scan")]
 
 
