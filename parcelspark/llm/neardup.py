@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelspark.llm import words
@@ -16,6 +16,10 @@ from parcelspark.llm.common import cols, components, dropped, free, quoted, stor
 
 _TABLE_BITS = 16
 _BLOCK_SHINGLES = 2_000_000
+# Rounds in which texts meet some drawn from the class that most holders of a shingle are in, and how many of these.
+_LEAD_ROUNDS, _LEADS = 2, 32
+# So many shingles before its own one does a row of a prefix know; what two texts share further back is made distinct later.
+_BEFORE = 32
 
 
 @dataclass(frozen=True)
@@ -302,8 +306,8 @@ def _held(texts: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _prefixes(texts: DataFrame, held: DataFrame, weights, settings: Settings) -> DataFrame:
-    """(shingle, tid, class, total, rest): of each text the rarest shingles, as far as they and all after them, ``rest``,
-    weigh at least ``similarity`` of its ``total`` weight. All texts are read in one order, by holders and then by the
+    """(shingle, tid, class, total, rest, before): of each text the rarest shingles, as far as they and all after them,
+    ``rest``, weigh at least ``similarity`` of its ``total`` weight; ``before`` are the last ones that come earlier. All texts are read in one order, by holders and then by the
     shingle, so this much is left at the first shingle that two texts share if they are as similar as asked for.
     Shingles that no other text holds come first and only take their weight."""
 
@@ -323,20 +327,22 @@ def _prefixes(texts: DataFrame, held: DataFrame, weights, settings: Settings) ->
                 if not upto.any():
                     continue
                 n = int(upto.sum())
+                prefix = words.signed(found[upto])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(words.signed(found[upto])),
+                        pa.array(prefix),
                         pa.array([tid] * n, pa.binary()),
                         pa.array([group] * n, pa.binary()),
                         pa.array(np.full(n, total)),
                         pa.array(rest[upto]),
+                        pa.array([prefix[max(i - _BEFORE, 0) : i] for i in range(n)], pa.list_(pa.int64())),
                     ],
-                    names=["shingle", "tid", "class", "total", "rest"],
+                    names=["shingle", "tid", "class", "total", "rest", "before"],
                 )
 
     return (
         texts.join(held, "tid").select("tid", "class", "packed", "shared")
-        .mapInArrow(run, "shingle long, tid binary, class binary, total double, rest double")
+        .mapInArrow(run, "shingle long, tid binary, class binary, total double, rest double, before array<long>")
     )
 
 
@@ -350,34 +356,71 @@ def _left_over(met: DataFrame, component: DataFrame) -> DataFrame:
     return crowd.join(parted, "bucket").select("tid", "class").distinct()
 
 
-def _rest_pairs(texts: DataFrame, weights, settings: Settings) -> DataFrame:
-    """(a, b), a < b: every pair of ``texts`` (tid, class, packed) of two classes that may be as similar as asked for,
-    by a prefix filter. Two texts of similarity s share at least s / (1 + s) of the weight of both. So at the first
-    shingle they share that much must be left in either: of the lighter one that is at most a ninth of its weight from
-    the start, at s = 0.8. Where a shingle's holders are mostly of one class, only the others are paired with all, so
-    pairs do not grow with the square of that class."""
-    held = stored(_held(texts, settings), "shared")
-    prefixes = stored(_prefixes(texts, held, weights, settings), "prefixes")
-    mixed = (
-        prefixes.groupBy("shingle", "class").agg(F.count("*").alias("n"))
-        .groupBy("shingle").agg(F.max(F.struct("n", "class")).alias("top"), F.count("*").alias("classes"))
-        .where("classes > 1").select("shingle", F.col("top.class").alias("top"))
+def _mixed(prefixes: DataFrame, draw: int = 0) -> DataFrame:
+    """(shingle, top, lead): of the shingles that texts of several classes hold the class with most of them and one of its
+    texts, drawn by a hash that differs from shingle to shingle and from ``draw`` to ``draw``."""
+    drawn = F.struct(F.xxhash64("tid", "shingle", F.lit(draw)).alias("draw"), "tid", "total", "rest")
+    return (
+        prefixes.groupBy("shingle", "class").agg(F.count("*").alias("n"), F.min(drawn).alias("lead"))
+        .groupBy("shingle").agg(F.max(F.struct("n", "class", "lead")).alias("top"), F.count("*").alias("classes"))
+        .where("classes > 1").select("shingle", F.col("top.class").alias("top"), F.col("top.lead").alias("lead"))
     )
-    met = stored(prefixes.join(mixed, "shingle"), "held")
+
+
+def _near_weights(w: str, total: str, settings: Settings) -> Column:
+    """No text is more similar to another than the lighter one's share of the heavier one's weight."""
+    return F.least(w, total) >= settings.similarity * (1 - 1e-9) * F.greatest(w, total)
+
+
+def _may_be_near(w: str, r: str, total: str, rest: str, settings: Settings) -> Column:
+    """Whether two texts of weights ``w`` and ``total`` of which ``r`` and ``rest`` are left at a shingle they share may be
+    as similar as asked for, if it is the first one."""
+    least = settings.similarity * (1 - 1e-9) / (1 + settings.similarity)
+    return _near_weights(w, total, settings) & (F.least(r, rest) >= least * (F.col(w) + F.col(total)))
+
+
+def _lead_pairs(prefixes: DataFrame, draw: int, settings: Settings) -> DataFrame:
+    """(a, b): each text with up to ``_LEADS`` of those drawn at its shingles from the class that most holders are in, if
+    that is not its own: those with most weight left from the shingle on."""
+    best = Window.partitionBy("tid").orderBy(F.desc(F.least(F.col("rest") / F.col("total"), F.col("r") / F.col("w"))), "t")
+    return (
+        prefixes.join(_mixed(prefixes, draw), "shingle").where("class <> top")
+        .select("tid", "total", "rest", F.col("lead.tid").alias("t"), F.col("lead.total").alias("w"), F.col("lead.rest").alias("r"))
+        .where(_near_weights("w", "total", settings))
+        .groupBy("tid", "t").agg(*(F.max(c).alias(c) for c in ("rest", "total", "r", "w")))
+        .withColumn("place", F.row_number().over(best)).where(F.col("place") <= _LEADS)
+        .select(F.least("t", "tid").alias("a"), F.greatest("t", "tid").alias("b"))
+        .distinct()
+    )
+
+
+def _rest_pairs(prefixes: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b), a < b: every pair of texts of two classes that may be as similar as asked for, by a prefix filter. Two
+    texts of similarity s share at least s / (1 + s) of the weight of both. So at the first shingle they share that much
+    must be left in either: of the lighter one that is at most a ninth of its weight from the start, at s = 0.8. A pair
+    is made at its first shingle only. Where a shingle's holders are mostly of one class, only the others are paired
+    with all, so pairs do not grow with the square of that class."""
+    met = stored(prefixes.join(_mixed(prefixes).drop("lead"), "shingle"), "held")
     few = met.where("class <> top").select(
-        "shingle", F.col("tid").alias("t"), F.col("class").alias("c"), F.col("total").alias("w"), F.col("rest").alias("r")
+        "shingle", F.col("tid").alias("t"), F.col("class").alias("c"), F.col("total").alias("w"), F.col("rest").alias("r"),
+        F.col("before").alias("earlier"),
     )
-    least = settings.similarity * (1 - 1e-9)
     return (
         few.join(met, "shingle")
         .where("c <> class AND (class = top OR t < tid)")
-        .where(F.least("w", "total") >= least * F.greatest("w", "total"))
-        .where(F.least("r", "rest") >= least / (1 + settings.similarity) * (F.col("w") + F.col("total")))
+        .where(_may_be_near("w", "r", "total", "rest", settings))
+        .where(~F.arrays_overlap("earlier", "before"))
         .select(F.least("t", "tid").alias("a"), F.greatest("t", "tid").alias("b"))
         .distinct()
     )
 
 
+def _renamed(prefixes: DataFrame, merged: DataFrame) -> DataFrame:
+    """``prefixes`` with the classes that the links ``merged`` between them make."""
+    whole = components(merged).select(F.col("node").alias("class"), F.col("component").alias("whole"))
+    return prefixes.join(whole, "class", "left").withColumn("class", F.coalesce("whole", "class")).drop("whole")
+
+
 def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """A row per row of ``df``: ``doc_id``, ``tid`` (MD5 of the text), ``class_id`` (the smallest id among texts that
     verified links connect) and ``kept`` (whether the row has this id).
@@ -385,9 +428,9 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
     Equal texts are one node. In each band's bucket one member is drawn as leader, by a hash that differs from band
     to band, and every other member is compared with it; texts of a group meet many leaders, and chains of links join
     them. Where unlike texts fill a bucket, those that share the next band as well form a bucket of their own with its
-    own leader. Buckets whose members are not in one class after that are settled exactly: a prefix filter over the
-    weighted shingles of their texts finds every pair of two classes that can be similar enough, and no bucket has a
-    cap. So texts that meet in a bucket and are as similar as asked for always end up in one class. Pairs grow with
+    own leader. Buckets whose members are not in one class after that are settled exactly: at each rare shingle the texts
+    of other classes first meet one of the class that most holders are in, and then a prefix filter over the weighted
+    shingles finds every pair of two classes that can still be similar enough, and no bucket has a cap. So texts that meet in a bucket and are as similar as asked for always end up in one class. Pairs grow with
     the members of a bucket, and with their square only where texts of different classes share most of their weight.
     Whatever is paired is verified on whole texts. Leaders come from an aggregation that is reduced on the map side, and are joined
     back by a plain join that AQE can split where a bucket is hot.
@@ -449,13 +492,22 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
     dropped(met)
     if not left.isEmpty():
         seen = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        rest = stored(_rest_pairs(texts.join(left, "tid"), weights, settings).join(seen, ["a", "b"], "left_anti"), "rest")
-        merged = (
-            _verified(rest, texts, weights, settings)
-            .join(left.select(F.col("tid").alias("a"), F.col("class").alias("x")), "a")
+        own = stored(texts.join(left, "tid"), "own")
+        held = stored(_held(own, settings), "shared")
+        prefixes = stored(_prefixes(own, held, weights, settings), "prefixes")
+        of_classes = lambda found: (
+            found.join(left.select(F.col("tid").alias("a"), F.col("class").alias("x")), "a")
             .join(left.select(F.col("tid").alias("b"), F.col("class").alias("y")), "b")
             .select(F.col("x").alias("a"), F.col("y").alias("b"))
         )
+        merged = df.sparkSession.createDataFrame([], "a binary, b binary")
+        for draw in range(_LEAD_ROUNDS):
+            # Texts of a class that one link settles need not be paired with all of it.
+            lead = stored(_lead_pairs(_renamed(prefixes, merged), draw, settings).join(seen, ["a", "b"], "left_anti"), "lead")
+            seen = seen.union(lead)
+            merged = stored(of_classes(_verified(lead, texts, weights, settings)).union(merged), "merged")
+        rest = stored(_rest_pairs(_renamed(prefixes, merged), settings).join(seen, ["a", "b"], "left_anti"), "rest")
+        merged = of_classes(_verified(rest, texts, weights, settings)).union(merged)
         joined = joined.join(
             components(merged).select(F.col("node").alias("class"), F.col("component").alias("whole")), "class", "left"
         ).select("tid", "doc", F.coalesce("whole", "class").alias("class"))

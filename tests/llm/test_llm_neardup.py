@@ -161,3 +161,36 @@ def test_many_unlike_texts_of_one_template(spark, monkeypatch, share):
     assert classes == {i: sets.root(i) for i in range(n)}
     if seen:
         assert seen[0].count() <= 5 * n
+
+
+def joined_rows(df):
+    """Rows that the joins of an executed plan made, as far as their conditions let them pass."""
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        if "Join" in name:
+            found.append(node.metrics().apply("numOutputRows").value())
+        for n in range(node.children().size()):
+            walk(node.children().apply(n))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_a_pair_is_made_at_its_first_shingle_and_a_text_meets_few_drawn_ones(spark):
+    """20 texts of one class and 10 of others share five shingles."""
+    rows = [
+        (s, b"t%02d" % t, b"a" if t < 20 else b"b%02d" % t, 100.0, 100.0 - s, list(range(s))) for t in range(30) for s in range(5)
+    ]
+    shape = "shingle long, tid binary, class binary, total double, rest double, before array<long>"
+    prefixes = spark.createDataFrame(rows, shape)
+    pairs = neardup._rest_pairs(prefixes, neardup.Settings())
+    assert len({(bytes(r.a), bytes(r.b)) for r in pairs.collect()}) == 10 * 20 + 45
+    assert joined_rows(pairs) == [10 * 20 + 45]
+    lead = neardup._lead_pairs(prefixes, 0, neardup.Settings()).collect()
+    assert 10 <= len(lead) <= 50 and all(bytes(min(r.a, r.b, key=bytes)) < b"t20" for r in lead)
