@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +57,35 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside hands Python workers at most 4 MB of rows at once, where Spark's own limit is 64 MB: whole texts fill
+    such a batch, and it is held by the executor's JVM and by the worker. A limit that the session sets itself stays."""
+    if _BATCH_BYTES in spark.conf.getAll:
+        yield
+        return
+    spark.conf.set(_BATCH_BYTES, "4m")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH_BYTES)
+
+
+_REMEMBERED: dict[str, dict] = {}
+
+
+def remembered(operator: str) -> dict:
+    """What tasks of ``operator`` keep for each other in this Python worker. Workers outlive their tasks and are handed to other
+    operators, so what those kept is given up first: a worker holds the memory of one operator."""
+    for name in [name for name in _REMEMBERED if name != operator]:
+        _REMEMBERED.pop(name).clear()
+        pa.default_memory_pool().release_unused()
+    return _REMEMBERED.setdefault(operator, {})
+
+
 # Keys above this share of all rows are listed; there are fewer of them than this number.
 _SHARE = 10_000
 

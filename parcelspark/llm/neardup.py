@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelspark.llm import words
-from parcelspark.llm.common import cols, components, dropped, free, quoted, stored
+from parcelspark.llm.common import cols, components, dropped, free, quoted, remembered, small_batches, stored
 
 _TABLE_BITS = 16
 _BLOCK_SHINGLES = 2_000_000
@@ -148,18 +148,34 @@ def _rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(documents, shingles of each of them) of about two million shingles."""
-    docs, held, count = 0, [], 0
+    """(documents, shingles of each of them) of up to two million shingles, or those of one longer text. All blocks lie in
+    one buffer: a block may be changed, and is gone with the next one."""
+    remembered("neardup")
+    held = np.empty(_BLOCK_SHINGLES, np.uint64)
+    docs, count = 0, 0
     for batch in batches:
         for text in words.each(batch.column(0)):
             own, _ = shingles(text, size)
+            if docs and count + len(own) > len(held):
+                yield docs, held[:count]
+                docs, count = 0, 0
+            if len(own) > len(held):
+                yield 1, own
+                continue
+            held[count : count + len(own)] = own
             docs, count = docs + 1, count + len(own)
-            held.append(own)
-            if count >= _BLOCK_SHINGLES:
-                yield docs, np.concatenate(held)
-                docs, held, count = 0, [], 0
     if docs:
-        yield docs, np.concatenate(held)
+        yield docs, held[:count]
+
+
+def _frequent(held: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The values that are in ``held`` at least ``least`` times, sorted, and how often. Sorts ``held`` in place, so that no
+    copy of it is made unless most values are frequent."""
+    held.sort()
+    apart = max(int(np.ceil(least)), 1) - 1
+    first = held[: max(len(held) - apart, 0)]
+    found = np.unique(first[first == held[len(held) - len(first) :]])
+    return found, np.searchsorted(held, found, "right") - np.searchsorted(held, found, "left")
 
 
 def common_shingles(rows: DataFrame, n: int, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -175,13 +191,11 @@ def common_shingles(rows: DataFrame, n: int, settings: Settings) -> tuple[np.nda
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for docs, held in _blocks(batches, size):
-            found, count = np.unique(held, return_counts=True)
-            often = count >= least / 2 * docs
-            for start in range(0, int(often.sum()), 100_000):
+            found, count = _frequent(held, least / 2 * docs)
+            for start in range(0, len(found), 100_000):
                 part = slice(start, start + 100_000)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(words.signed(found[often][part])), pa.array(count[often][part].astype(np.int64))],
-                    names=["shingle", "n"],
+                    [pa.array(words.signed(found[part])), pa.array(count[part].astype(np.int64))], names=["shingle", "n"]
                 )
 
     likely = (
@@ -221,6 +235,7 @@ def _sketched(rows: DataFrame, weights, settings: Settings) -> DataFrame:
     width = settings.rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("neardup")
         sampler, own = Sampler(settings.bands * width, settings.seed), weights.value
         places = np.arange(settings.bands).astype(np.uint64)
         for batch in batches:
@@ -250,6 +265,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights, settings: Settings) -
     ``b`` are neighbours and its shingles are made once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("neardup")
         own, last, known = weights.value, None, None
 
         def weighed(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -276,6 +292,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights, settings: Settings) -
 
 def _packed(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("neardup")
         for batch in batches:
             packed = [zlib.compress(text.encode(), 2) for text in words.each(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
@@ -438,6 +455,11 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
     A null text belongs to no class but its own. Texts without words have only their equals. A class of null ids
     alone has a null ``class_id`` and keeps all its rows. Rows that repeat an id and a text are kept or not together.
     """
+    with small_batches(df.sparkSession):
+        return _classes(df, doc_id, text, settings)
+
+
+def _classes(df: DataFrame, doc_id: str, text: str, settings: Settings) -> DataFrame:
     n = df.count()
     rows = _rows(df, doc_id, text)
     weights = df.sparkSession.sparkContext.broadcast(Weights(n, *common_shingles(rows, n, settings), settings.common))

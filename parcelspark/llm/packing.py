@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelspark.llm.common import cols, dropped, free, others, stored
+from parcelspark.llm.common import cols, dropped, free, others, remembered, small_batches, stored
 
 # Chunks of text that a worker keeps with their ids; a full cache is emptied, which costs time only.
 CACHE_ENTRIES = 700_000
@@ -78,14 +78,12 @@ class Chunks:
         return found
 
 
-_CHUNKS: dict[str, Chunks] = {}
-
-
 def chunks(path: str) -> Chunks:
-    """One per worker process, so that its memory lasts."""
-    if path not in _CHUNKS:
-        _CHUNKS[path] = Chunks(path)
-    return _CHUNKS[path]
+    """One per worker process, so that its memory lasts until another operator that asks for memory has the worker."""
+    own = remembered("packing")
+    if path not in own:
+        own[path] = Chunks(path)
+    return own[path]
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -208,7 +206,8 @@ def packed(
         if rows:
             yield from flush()[1].to_batches()
 
-    local_bins = stored(source.mapInArrow(run, schema), "pieces")
+    with small_batches(pieces.sparkSession):
+        local_bins = stored(source.mapInArrow(run, schema), "pieces")
     items = stored(
         local_bins.groupBy(F.col("sequence_id").alias("bin"))
         .agg(F.sum("length").alias("fill"))

@@ -1,16 +1,19 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import brute
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from parcelspark.llm import neardup, words
-from parcelspark.llm.common import components
+from parcelspark.llm import neardup, packing, words
+from parcelspark.llm.common import components, remembered, small_batches
 
 
 def test_samples_agree_as_often_as_weighted_jaccard_says():
@@ -194,3 +197,65 @@ def test_a_pair_is_made_at_its_first_shingle_and_a_text_meets_few_drawn_ones(spa
     assert joined_rows(pairs) == [10 * 20 + 45]
     lead = neardup._lead_pairs(prefixes, 0, neardup.Settings()).collect()
     assert 10 <= len(lead) <= 50 and all(bytes(min(r.a, r.b, key=bytes)) < b"t20" for r in lead)
+
+
+def test_blocks_hold_every_text_whole_and_count_what_is_frequent(monkeypatch):
+    monkeypatch.setattr(neardup, "_BLOCK_SHINGLES", 100)
+    draw = random.Random(9)
+    texts = [" ".join(draw.choice("abcd") for _ in range(draw.choice([0, 3, 20, 60]))) for _ in range(200)]
+    texts[50] = " ".join(f"w{i}" for i in range(300))
+    own = [neardup.shingles(text, 5)[0] for text in texts]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 70])], names=["text"]) for i in range(0, 200, 70)]
+    docs = 0
+    for n, held in neardup._blocks(iter(batches), 5):
+        want = np.concatenate(own[docs : docs + n])
+        docs += n
+        assert np.array_equal(np.sort(held), np.sort(want)) and (n == 1 or len(held) <= 100)
+        for least in (0.2, 1, 1.5, n / 2, n, n + 1):
+            value, count = np.unique(want, return_counts=True)
+            found, often = neardup._frequent(held.copy(), least)
+            assert np.array_equal(found, value[count >= least]) and np.array_equal(often, count[count >= least])
+    assert docs == 200 and not len(neardup._frequent(np.zeros(0, np.uint64), 3)[0])
+
+
+def test_a_block_is_in_memory_once(monkeypatch):
+    monkeypatch.setattr(neardup, "_BLOCK_SHINGLES", 400_000)
+    texts = [" ".join(f"w{i}x{j}" for j in range(500)) for i in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    tracemalloc.start()
+    try:
+        for docs, held in neardup._blocks(iter([batch]), 5):
+            neardup._frequent(held, docs / 200)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 2 * 8 * 400_000  # before, blocks were kept as texts' arrays, joined, and copied by np.unique
+
+
+def test_a_worker_gives_up_what_another_operator_kept():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own = packing.chunks(path)
+    own.encode(["some words"])
+    assert packing.chunks(path) is own and own in remembered("packing").values()
+    list(neardup._blocks(iter([]), 5))
+    assert not remembered("packing") and packing.chunks(path) is not own
+
+
+def test_workers_get_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    df = spark.range(3000).selectExpr("repeat('x', 5000) AS text").coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    with small_batches(spark):
+        assert df.mapInArrow(sizes, "n long").selectExpr("max(n)").first()[0] < 5_000_000
+    assert name not in spark.conf.getAll
+    spark.conf.set(name, "1m")
+    try:
+        with small_batches(spark):
+            assert spark.conf.get(name) == "1m"
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.unset(name)
