@@ -17,13 +17,14 @@ def write_log(df: DataFrame, path: str, ts: str, unit: str = "day", mode: str =
     years with few rows a day) of ``ts``.
 
     Rows are gathered by folder first and AQE splits large folders over many tasks, so a day has few files and a hot day
-    has no single writer. Late rows go to the folder of their own day. Rows without a time lie in a folder of their
-    own, which no look-back opens. A batch is seen whole or not at all; appending it again adds its rows again.
+    has no single writer. Files are zstd. Late rows go to the folder of their own day. Rows without a time lie in a folder
+    of their own, which no look-back opens. A batch is seen whole or not at all; appending it again adds its rows again.
     """
     require_utc(df.sparkSession)
     held = unit_column(ts, unit)
     laid = df.withColumn(held, F.trunc(F.to_date(ts), "MM") if unit == "month" else F.to_date(ts))
-    laid.hint("rebalance", F.col(held)).write.mode(mode).partitionBy(held).parquet(path)
+    gathered = laid.hint("rebalance", F.col(held))
+    gathered.write.mode(mode).option("compression", "zstd").partitionBy(held).parquet(path)
 
 
 def read_log(spark: SparkSession, path: str, ts: str, unit: str = "day", shape: T.StructType | None = None) -> DataFrame:

@@ -188,3 +188,9 @@ def test_log_without_rows(spark, tmp_path, log):
     daylogs.write_log(log.where("id < 0"), f"file://{tmp_path}/log", "t")
     laid = daylogs.read_log(spark, f"file://{tmp_path}/log", "t", shape=log.schema)
     assert rolling_window(laid, "t", 3, AsOf(NOON)).count() == 0
+
+
+def test_log_files_are_zstd(spark, tmp_path, log):
+    daylogs.write_log(log, f"file://{tmp_path}/log", "t")
+    names = [path.name for path in tmp_path.glob("log/*/part-*")]
+    assert names and all(name.endswith(".zstd.parquet") for name in names)
