@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelspark.llm.common import cols, dropped, free, others, remembered, small_batches, stored
+from parcelspark.llm.common import cols, dropped, free, others, remembered, stored
 
 # Chunks of text that a worker keeps with their ids; a full cache is emptied, which costs time only.
 CACHE_ENTRIES = 700_000
@@ -206,8 +206,7 @@ def packed(
         if rows:
             yield from flush()[1].to_batches()
 
-    with small_batches(pieces.sparkSession):
-        local_bins = stored(source.mapInArrow(run, schema), "pieces")
+    local_bins = stored(source.mapInArrow(run, schema), "pieces")
     items = stored(
         local_bins.groupBy(F.col("sequence_id").alias("bin"))
         .agg(F.sum("length").alias("fill"))
