@@ -522,7 +522,7 @@ def _classes(df: DataFrame, doc_id: str, text: str, settings: Settings) -> DataF
             .join(left.select(F.col("tid").alias("b"), F.col("class").alias("y")), "b")
             .select(F.col("x").alias("a"), F.col("y").alias("b"))
         )
-        merged = df.sparkSession.createDataFrame([], "a binary, b binary")
+        merged = links.where("false")  # a table made of Python rows would take Python workers of another kind
         for draw in range(_LEAD_ROUNDS):
             # Texts of a class that one link settles need not be paired with all of it.
             lead = stored(_lead_pairs(_renamed(prefixes, merged), draw, settings).join(seen, ["a", "b"], "left_anti"), "lead")

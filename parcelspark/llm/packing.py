@@ -5,7 +5,7 @@ from __future__ import annotations
 import array
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,12 +13,18 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from parcelspark.llm.common import cols, dropped, free, others, remembered, stored
 
 # Chunks of text that a worker keeps with their ids; a full cache is emptied, which costs time only.
 CACHE_ENTRIES = 700_000
 
+_PLACE = ["sequence_id", "offset"]
+
+# What a Python worker does with a task's batches.
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 
 class Chunks:
     """A byte-level tokenizer of the ``tokenizers`` library with a bounded memory of what it has encoded.
@@ -102,8 +108,16 @@ def tokenized(
     than ``capacity`` ids are cut, others stay whole. Strings of special tokens in a text are ordinary text.
     No shuffle. Input columns with an added column's name are replaced.
     """
+    source, run, schema = _tokenizing(df, tokenizer, capacity, text, end_id, ids)
+    return source.mapInArrow(run, schema)
+
+
+def _tokenizing(
+    df: DataFrame, tokenizer: str, capacity: int, text: str, end_id: int, ids: bool, left_out: Iterable[str] = ()
+) -> tuple[DataFrame, Step, StructType]:
+    """The rows that ``tokenized`` hands to Python workers, what these do with them, and the columns of the result."""
     added = ["piece", "start", "length", "ids_crc32", "ids"]
-    kept = others(df, text, *added)
+    kept = others(df, text, *added, *left_out)
     source = df.select(*cols(kept), F.coalesce(F.col(text), F.lit("")).alias(free(df, "_text")))
     schema = df.select(
         *cols(kept),
@@ -135,7 +149,7 @@ def tokenized(
                 taken = [part.column(i).take(pa.array(rows, pa.int32())) for i in range(part.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays(taken + made, names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source, run, schema
 
 
 def best_fit(sizes: list[int], capacity: int) -> tuple[list[int], list[int], list[int]]:
@@ -176,12 +190,29 @@ def packed(
     ``length`` must lie between 1 and ``capacity``. An empty table stays empty; input columns named like an added
     column are replaced.
     """
-    kept = others(pieces, "sequence_id", "offset")
-    source = pieces.select(*cols(kept))
-    schema = source.select(
-        "*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")
-    ).schema
-    at = kept.index("length")
+    source = pieces.select(*cols(others(pieces, *_PLACE)))
+    run, schema = _placing(source.schema, capacity, local)
+    return _merged(stored(source.mapInArrow(run, schema), "pieces"), capacity, full, group)
+
+
+def tokenized_and_packed(
+    df: DataFrame, tokenizer: str, capacity: int, text: str = "text", end_id: int = 0, ids: bool = True,
+    full: float = 0.98, local: int = 16_384, group: int = 8_192,
+) -> DataFrame:
+    """``packed(tokenized(df))``, where one Python worker does both with a task's rows. Two operators in a row take two
+    workers a task, and Spark keeps both for what comes next, so an executor would hold twice as many."""
+    source, tokenize, pieces = _tokenizing(df, tokenizer, capacity, text, end_id, ids, _PLACE)
+    place, schema = _placing(pieces, capacity, local)
+    made = source.mapInArrow(lambda batches: place(tokenize(batches)), schema)
+    return _merged(stored(made, "pieces"), capacity, full, group)
+
+
+def _placing(pieces: StructType, capacity: int, local: int) -> tuple[Step, StructType]:
+    """The first step of ``packed``, within a task, and the columns of its result."""
+    schema = StructType(list(pieces.fields))
+    for name in _PLACE:
+        schema.add(name, "long", False)
+    at = pieces.names.index("length")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, waiting, rows = TaskContext.get().partitionId() << 40, [], 0
@@ -206,7 +237,12 @@ def packed(
         if rows:
             yield from flush()[1].to_batches()
 
-    local_bins = stored(source.mapInArrow(run, schema), "pieces")
+    return run, schema
+
+
+def _merged(local_bins: DataFrame, capacity: int, full: float, group: int) -> DataFrame:
+    """``local_bins`` with underfull bins merged, as ``packed`` says."""
+    kept = others(local_bins, *_PLACE)
     items = stored(
         local_bins.groupBy(F.col("sequence_id").alias("bin"))
         .agg(F.sum("length").alias("fill"))

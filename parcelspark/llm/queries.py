@@ -66,8 +66,7 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pack_documents(documents: DataFrame) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = packing.tokenized(documents.select("doc_id", "text"), tokenizer, 2048, ids=False)
-    return packing.packed(pieces, 2048)
+    return packing.tokenized_and_packed(documents.select("doc_id", "text"), tokenizer, 2048, ids=False)
 
 
 @query

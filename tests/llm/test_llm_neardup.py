@@ -259,3 +259,20 @@ def test_workers_get_small_batches(spark):
         assert spark.conf.get(name) == "1m"
     finally:
         spark.conf.unset(name)
+
+
+def test_python_workers_are_of_one_kind(spark, monkeypatch):
+    """A table made of Python rows is read by other workers than those of mapInArrow, and an executor keeps both."""
+    draw = random.Random(4)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(6))
+    template = [word() for _ in range(80)]
+    texts = [" ".join(template + [word() for _ in range(8)]) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    settled, lead_pairs = [], neardup._lead_pairs
+    monkeypatch.setattr(neardup, "_lead_pairs", lambda *a: settled.append(lead_pairs(*a)) or settled[-1])
+
+    def refused(*_, **__):
+        raise AssertionError("createDataFrame")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    assert neardup.classes(df).count() == 60 and settled

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from parcelspark.llm import packing
+from parcelspark.llm.queries import pack_documents
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -76,3 +77,39 @@ def test_nulls_empty_long_and_repeats(spark):
     assert (of.length[1:] == 64).all()
     assert all(zlib.crc32(array.array("I", list(r["ids"])).tobytes()) == r.ids_crc32 for _, r in of.iterrows())
     assert packing.packed(packing.tokenized(df.limit(0), PATH, 64), 64).count() == 0
+
+
+def test_one_worker_tokenizes_and_packs(spark, monkeypatch):
+    long = "some words here " * 300
+    rows = [(i, f"text {i} " * (i % 30), 7) for i in range(200)] + [(200, None, 7), (201, long, 7), (None, "x", 7), (5, "y", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, Offset int").repartition(3, "doc_id")
+    plans, stored = [], packing.stored
+
+    def seen(made, name):
+        plans.append(made._jdf.queryExecution().executedPlan().toString())
+        return stored(made, name)
+
+    monkeypatch.setattr(packing, "stored", seen)
+    found = packing.tokenized_and_packed(df, PATH, 64, local=50, group=16)
+    assert plans[0].count("MapInArrow") == 1  # before, two operators took two workers of each task
+    apart = packing.packed(packing.tokenized(df, PATH, 64), 64, local=50, group=16)
+    assert found.columns == apart.columns
+    found, apart = found.toPandas(), apart.toPandas()
+    check(found, 64)
+    assert found.sequence_id.nunique() <= 1.05 * apart.sequence_id.nunique()
+    pieces = lambda t: sorted(zip(t.doc_id.fillna(-1), t.piece, t.start, t.length, t.ids_crc32))
+    assert pieces(found) == pieces(apart) and len(found) > len(rows)
+    assert packing.tokenized_and_packed(df.limit(0), PATH, 64).count() == 0
+
+
+def test_packing_of_documents_takes_one_worker_a_task(spark, monkeypatch):
+    plans, stored = [], packing.stored
+
+    def seen(made, name):
+        plans.append(made._jdf.queryExecution().executedPlan().toString())
+        return stored(made, name)
+
+    monkeypatch.setattr(packing, "stored", seen)
+    found = pack_documents(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string"))
+    assert plans[0].count("MapInArrow") == 1
+    assert sorted(found.toPandas().length) == [1, 3]
