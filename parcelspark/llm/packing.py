@@ -6,6 +6,7 @@ import array
 import os
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from parcelspark.llm.common import cols, dropped, free, others, remembered, stored
 
-# Chunks of text that a worker keeps with their ids; a full cache is emptied, which costs time only.
+# Chunks of text that a worker keeps with their ids; a full cache keeps its first third, which has most of the frequent ones.
 CACHE_ENTRIES = 700_000
 
 _PLACE = ["sequence_id", "offset"]
@@ -64,23 +65,24 @@ class Chunks:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
+            self.known = dict(islice(self.known.items(), CACHE_ENTRIES // 3))
         known = self.known
         split = [text.split(" ") for text in texts]
-        new = set().union(*(parts[1:] for parts in split)).difference(known)
+        rests = [parts[1:] for parts in split]
+        new = set().union(*rests).difference(known)
         odd = {chunk for chunk in new if not chunk or chunk[0].isspace()}
         known.update(dict.fromkeys(odd))
         self._learn(list(new - odd))
         heads = [parts[0] if parts[0] and not parts[0][-1].isspace() else None for parts in split]
         firsts = iter(self._encoded([head for head in heads if head]))
         found = []
-        for text, parts, head in zip(texts, split, heads):
-            first = next(firsts) if head else None
-            rest = list(map(known.__getitem__, parts[1:]))
-            if (head or not text) and None not in rest:
-                found.append((first or b"") + b"".join(rest))
-            else:
-                found.append(self._encoded([text])[0])
+        for text, rest, head in zip(texts, rests, heads):
+            first = next(firsts) if head else b""
+            try:
+                ids = first + b"".join(map(known.__getitem__, rest)) if head or not text else None
+            except TypeError:  # a chunk whose ids depend on what is around it
+                ids = None
+            found.append(self._encoded([text])[0] if ids is None else ids)
         return found
 
 

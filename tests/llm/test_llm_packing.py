@@ -24,6 +24,16 @@ def test_chunks_give_the_library_s_ids():
         assert array.array("I", packed).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_a_full_cache_keeps_what_came_first(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", 6)
+    own, library = packing.Chunks(PATH), Tokenizer.from_file(PATH)
+    texts = ["a b c", "a d e f  g", "", " h i j k", "b c l\u3000m n o p q", "a b z"]
+    for text in texts * 2:
+        packed = own.encode([text])[0]
+        assert array.array("I", packed).tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert set(list(own.known)[:2]) == {"b", "c"}
+
+
 def test_cut_leaves_the_rest_in_front():
     assert packing.cut(5, 8) == [(0, 5)] and packing.cut(8, 8) == [(0, 8)]
     assert packing.cut(17, 8) == [(0, 1), (1, 8), (9, 8)] and packing.cut(16, 8) == [(0, 8), (8, 8)]
