@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import array
 import os
+import string
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
@@ -11,6 +12,7 @@ from itertools import islice
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +20,17 @@ from pyspark.sql.types import StructType
 
 from parcelspark.llm.common import cols, dropped, free, others, remembered, stored
 
-# Chunks of text that a worker keeps with their ids; a full cache keeps its first third, which has most of the frequent ones.
+# Chunks of text that a worker keeps with their ids; a full cache keeps half of them: those just met again, then the oldest.
 CACHE_ENTRIES = 700_000
 
+# Bytes of text that are encoded at once, but for a longer text.
+PART_BYTES = 4 << 20
+
+# What may stand behind a word, and the last character that words which end before it are looked for with: all tables of
+# Unicode agree on what is a letter up to there.
+_MARKS = string.punctuation
+_LETTERS = "\u024f"
+
 _PLACE = ["sequence_id", "offset"]
 
 # What a Python worker does with a task's batches.
@@ -40,51 +50,87 @@ class Chunks:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes] = {}  # no bytes: a chunk whose ids depend on what is around it
+        self.marks: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
-        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.blank = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
-            self.sizes[number] = len(token)  # a byte-level token has one character per byte
+            self.blank[number] = token.startswith("\u0120")  # what a byte-level token has for a blank
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array.array("I", one.ids).tobytes() for one in found]
 
-    def _learn(self, new: list[str]) -> None:
-        """Encodes chunks as one text, since a call costs more than a chunk, and parts the ids at the chunks' ends."""
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum([len(chunk.encode()) + 1 for chunk in part])
-            upto = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
-            packed, last = ids.tobytes(), 0
-            for chunk, end in zip(part, (4 * upto).tolist()):
-                self.known[chunk] = packed[last:end]
-                last = end
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > CACHE_ENTRIES:
-            self.known = dict(islice(self.known.items(), CACHE_ENTRIES // 3))
-        known = self.known
-        split = [text.split(" ") for text in texts]
-        rests = [parts[1:] for parts in split]
-        new = set().union(*rests).difference(known)
-        odd = {chunk for chunk in new if not chunk or chunk[0].isspace()}
-        known.update(dict.fromkeys(odd))
-        self._learn(list(new - odd))
-        heads = [parts[0] if parts[0] and not parts[0][-1].isspace() else None for parts in split]
-        firsts = iter(self._encoded([head for head in heads if head]))
+    def _behind_blanks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks, encoded as one text, since a call costs more than a chunk, and parted at the blanks before them."""
         found = []
-        for text, rest, head in zip(texts, rests, heads):
-            first = next(firsts) if head else b""
-            try:
-                ids = first + b"".join(map(known.__getitem__, rest)) if head or not text else None
-            except TypeError:  # a chunk whose ids depend on what is around it
-                ids = None
-            found.append(self._encoded([text])[0] if ids is None else ids)
+        for start in range(0, len(chunks), 4096):
+            part = chunks[start : start + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            packed, begins = ids.tobytes(), (4 * np.flatnonzero(self.blank[ids])).tolist()
+            found += [packed[begin:end] for begin, end in zip(begins, [*begins[1:], len(packed)])]
         return found
 
+    def _with_marks(self, chunk: str) -> bytes | None:
+        """Ids of a known word and the marks behind it: the pattern ends a piece between a letter or digit and a mark."""
+        word = chunk.rstrip(_MARKS)
+        if not 0 < len(chunk) - len(word) <= 16 or not word or word[-1] > _LETTERS or not word[-1].isalnum():
+            return None
+        ids = self.known.get(word)
+        if not ids:
+            return None
+        marks = chunk[len(word) :]
+        if marks not in self.marks:
+            if len(self.marks) >= 10_000:
+                self.marks.clear()
+            self.marks[marks] = self._encoded([marks])[0]
+        return ids + self.marks[marks]
+
+    def _learned(self, new: list[str]) -> list[bytes]:
+        found = [
+            b"" if not chunk or chunk[0].isspace() else self._with_marks(chunk) if chunk[-1] in _MARKS else None for chunk in new
+        ]
+        rest = iter(self._behind_blanks([chunk for chunk, ids in zip(new, found) if ids is None]))
+        found = [next(rest) if ids is None else ids for ids in found]
+        self.known.update(zip(new, found))
+        return found
+
+    def _ids_of(self, chunks: list[str]) -> list[bytes]:
+        """Ids of unlike chunks."""
+        if len(self.known) > CACHE_ENTRIES:
+            kept = {chunk: self.known[chunk] for chunk in chunks if chunk in self.known}
+            for chunk, ids in islice(self.known.items(), CACHE_ENTRIES // 2):
+                kept.setdefault(chunk, ids)
+            self.known = dict(islice(kept.items(), CACHE_ENTRIES // 2))
+        found = list(map(self.known.get, chunks))
+        new = iter(self._learned([chunk for chunk, ids in zip(chunks, found) if ids is None]))
+        return [next(new) if ids is None else ids for ids in found]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers. Arrow parts the chunks, tells them apart and puts their
+        ids in place, so Python handles each unlike chunk of a call once."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        split = pc.split_pattern(column, " ")
+        at, parts = split.offsets.to_numpy(), split.values
+        heads = parts.take(pa.array(at[:-1])).to_pylist()
+        inner = np.ones(len(parts), bool)
+        inner[at[:-1]] = False
+        rest = parts.filter(pa.array(inner)).dictionary_encode()
+        upto = at - np.arange(len(at))  # where a text's chunks begin in ``rest``
+        del split, parts, inner
+        ids_of = pa.array(self._ids_of(rest.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        packed = ids_of.take(rest.indices)
+        sizes = pc.binary_length(packed).to_numpy()
+        # Texts that are encoded as a whole: those with an odd chunk, or a first one that the next blank may belong to.
+        whole = set((np.searchsorted(upto, np.flatnonzero(sizes == 0), "right") - 1).tolist())
+        whole.update(row for row, head in enumerate(heads) if (not head and upto[row] < upto[row + 1]) or head[-1:].isspace())
+        firsts = self._encoded([column[row].as_py() if row in whole else head for row, head in enumerate(heads)])
+        ends = np.concatenate([[0], np.cumsum(sizes)])[upto].tolist()
+        data = memoryview(packed.buffers()[2] or b"")
+        return [
+            first if row in whole else first + data[ends[row] : ends[row + 1]] for row, first in enumerate(firsts)
+        ]
+
 
 def chunks(path: str) -> Chunks:
     """One per worker process, so that its memory lasts until another operator that asks for memory has the worker."""
@@ -94,6 +140,16 @@ def chunks(path: str) -> Chunks:
     return own[path]
 
 
+def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of ``PART_BYTES`` of the texts in its last column; a longer text is a part of its own."""
+    upto, begin = np.cumsum(pc.binary_length(batch.column(batch.num_columns - 1)).to_numpy(), dtype=np.int64), 0
+    while begin < batch.num_rows:
+        done = upto[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(upto, done + PART_BYTES, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document: one if it fits, else full ones after a first one with the rest."""
     first = length if length <= capacity else length % capacity or capacity
@@ -131,10 +187,9 @@ def _tokenizing(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, end = chunks(tokenizer), array.array("I", [end_id]).tobytes()
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
+            for part in parts(batch):
                 rows, piece, start, length, crc, values = [], [], [], [], [], []
-                for row, packed in enumerate(own.encode(part.column(part.num_columns - 1).to_pylist())):
+                for row, packed in enumerate(own.encode(part.column(part.num_columns - 1))):
                     packed += end
                     for number, (at, size) in enumerate(cut(len(packed) // 4, capacity)):
                         data = packed[4 * at : 4 * (at + size)]

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -34,6 +35,58 @@ def test_a_full_cache_keeps_what_came_first(monkeypatch):
     assert set(list(own.known)[:2]) == {"b", "c"}
 
 
+class Counted:
+    """A tokenizer that lists what it was asked for."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.asked = tokenizer, []
+
+    def encode_batch_fast(self, texts, add_special_tokens):
+        self.asked += texts
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+
+def test_marks_behind_a_known_word_do_not_encode_it_again():
+    own = packing.Chunks(PATH)
+    own.encode(["a word and étude"])
+    library = own.tokenizer
+    own.tokenizer = Counted(library)
+    texts = ["a word, word. étude) étude!!", "word and. word", "a word, étude."]
+    for text, packed in zip(texts, own.encode(texts)):
+        assert array.array("I", packed).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert not [asked for asked in own.tokenizer.asked if " word" in asked or "tude" in asked]  # before, all but " word"
+
+
+def test_a_full_cache_keeps_what_is_met_again(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", 6)
+    own = packing.Chunks(PATH)
+    own.encode(["x one two three four five six seven"])
+    own.tokenizer = Counted(own.tokenizer)
+    own.encode(["x six seven new"])
+    assert own.tokenizer.asked == [" new", "x"]  # before, the first third alone was kept
+    assert set(own.known) == {"six", "seven", "one", "new"}
+
+
+def test_letters_marks_and_blanks_give_the_library_s_ids():
+    own, library = packing.Chunks(PATH), Tokenizer.from_file(PATH)
+    library.encode_special_tokens = True
+    for c in map(chr, [*range(1, 0x300), 0x85, 0x2028, 0x3000, 0xFEFF, 0x1F600]):
+        texts = [f"w x{c} x{c}. x{c}.' {c} {c}, {c}!?s {c}1) 1{c}", f"w x{c}, x{c}\". x{c}\n. {c}s {c}s's {c}s' {c}' {c}''s"]
+        for text, packed in zip(texts, own.encode(pa.array(texts))):
+            assert array.array("I", packed).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_parts_are_bounded_by_the_bytes_of_texts(monkeypatch):
+    monkeypatch.setattr(packing, "PART_BYTES", 10)
+    texts = ["", "é" * 4, "x", "y" * 30, "", "z" * 10, "a"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], names=["doc_id", "text"])
+    assert [part.column(0).to_pylist() for part in packing.parts(batch)] == [[0, 1, 2], [3], [4, 5], [6]]
+    assert not list(packing.parts(batch.slice(0, 0)))
+    own = packing.Chunks(PATH)
+    found = [ids for part in packing.parts(batch) for ids in own.encode(part.column(1))]
+    assert found == own.encode(texts) and found[0] == b"" and own.encode([]) == []
+
+
 def test_cut_leaves_the_rest_in_front():
     assert packing.cut(5, 8) == [(0, 5)] and packing.cut(8, 8) == [(0, 8)]
     assert packing.cut(17, 8) == [(0, 1), (1, 8), (9, 8)] and packing.cut(16, 8) == [(0, 8), (8, 8)]
