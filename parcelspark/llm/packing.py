@@ -57,9 +57,13 @@ class Chunks:
         for token, number in vocabulary.items():
             self.blank[number] = token.startswith("\u0120")  # what a byte-level token has for a blank
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array.array("I", one.ids).tobytes() for one in found]
+    def _encoded(self, texts: list[str], at_once: int = 16) -> list[bytes]:
+        """Few at once, since the library holds some hundred bytes a token of them."""
+        found = []
+        for start in range(0, len(texts), at_once):
+            part = self.tokenizer.encode_batch_fast(texts[start : start + at_once], add_special_tokens=False)
+            found += [array.array("I", one.ids).tobytes() for one in part]
+        return found
 
     def _behind_blanks(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks, encoded as one text, since a call costs more than a chunk, and parted at the blanks before them."""
@@ -124,7 +128,9 @@ class Chunks:
         # Texts that are encoded as a whole: those with an odd chunk, or a first one that the next blank may belong to.
         whole = set((np.searchsorted(upto, np.flatnonzero(sizes == 0), "right") - 1).tolist())
         whole.update(row for row, head in enumerate(heads) if (not head and upto[row] < upto[row + 1]) or head[-1:].isspace())
-        firsts = self._encoded([column[row].as_py() if row in whole else head for row, head in enumerate(heads)])
+        firsts = self._encoded(["" if row in whole else head for row, head in enumerate(heads)])
+        for row in whole:
+            firsts[row] = self._encoded([column[row].as_py()])[0]
         ends = np.concatenate([[0], np.cumsum(sizes)])[upto].tolist()
         data = memoryview(packed.buffers()[2] or b"")
         return [
