@@ -64,7 +64,8 @@ def smu_hub_names(tables: Tables) -> DataFrame:
     return hub_names(_sheet(tables), tables["a_mh_facility_name_rnd"])
 
 
-# The report's columns in order. Rows of one lane share most of their texts, so next to one another they compress best.
+# The report's columns in order. Rows of one lane share most of their texts, and most of all with its branches and days,
+# so next to one another they compress best.
 _SYSTEM_COLUMNS = (
     "bm_vm_awb", "bm_vm_concat", "bag_no", "vehicle_tag_no", "waybill_no", "shipping_time", "express_type", "record_time",
     "standard_shipping_fee", "handling_fee", "other_fee", "insurance_amount", "total_shipping_fee", "system_weight",
@@ -72,7 +73,10 @@ _SYSTEM_COLUMNS = (
     "recipient_province_name", "recipient_city_name", "recipient_district_name", "pod_branch_name", "pod_record_time",
     "return_flag", "return_pod_record_time", "return_pod_branch_name", "pod_or_return_pod_branch", "mh_sending", "mh_arrival",
 )
-_LANE = ("sender_city_name", "sender_district_name", "recipient_city_name", "recipient_district_name")
+_LANE = (
+    "sender_city_name", "sender_district_name", "recipient_city_name", "recipient_district_name", "pickup_branch_name",
+    "pod_branch_name", "shipping_time",
+)
 
 
 def _derived() -> dict[str, Column]:
@@ -161,9 +165,9 @@ def smu_system(
 
 def stage_system(system: DataFrame, path: str, buckets: int, hot_rows: int = HOT_ROWS) -> Stage:
     """Writes the system bags as a stage bucketed by ``STAGE_KEYS`` and opens it. It holds the columns that the others do
-    not give, each task's rows by lane."""
+    not give, each task's and each bucket's rows by lane."""
     own = system.drop(*_derived()).sortWithinPartitions(*_LANE)
-    written = stages.write_stage(own, path, STAGE_KEYS, buckets, hot_rows)
+    written = stages.write_stage(own, path, STAGE_KEYS, buckets, hot_rows, order=_LANE)
     return written.mapped(lambda rows: rows.withColumns(_derived()).select(*_SYSTEM_COLUMNS))
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from parcelspark.operators import skew
 
 BUCKET_ROWS = 1_000_000
+_RELEASES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @dataclass(frozen=True)
@@ -39,30 +41,63 @@ def _deleted(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _opened(spark: SparkSession, path: str, shape: T.StructType, keys: Sequence[str], buckets: int) -> DataFrame:
+@contextmanager
+def _releasing(spark: SparkSession) -> Iterator[None]:
+    """What ends in here gives up its shuffle files. Otherwise they stay until the driver collects garbage, so those of
+    every step lie on the disks at once."""
+    before = spark.conf.get(_RELEASES, None)
+    spark.conf.set(_RELEASES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_RELEASES)
+        else:
+            spark.conf.set(_RELEASES, before)
+
+
+def _opened(
+    spark: SparkSession, path: str, shape: T.StructType, keys: Sequence[str], buckets: int, order: Sequence[str] = ()
+) -> DataFrame:
     """The bucketed folder as a table of this session's catalog, which is where Spark keeps buckets."""
     name = "stage_" + hashlib.md5(path.encode()).hexdigest()
     columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in shape)
     by = ", ".join(f"`{key}`" for key in keys)
+    ordered = f"SORTED BY ({', '.join(f'`{name}`' for name in order)}) " if order else ""
     place = path.replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet OPTIONS (compression 'zstd') CLUSTERED BY ({by}) "
-        f"INTO {buckets} BUCKETS LOCATION '{place}'"
+        f"{ordered}INTO {buckets} BUCKETS LOCATION '{place}'"
     )
     return spark.table(name)
 
 
 def write_stage(
-    df: DataFrame, path: str, keys: Sequence[str], buckets: int, hot_rows: int = skew.HOT_ROWS, bucket_rows: int = BUCKET_ROWS
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    buckets: int,
+    hot_rows: int = skew.HOT_ROWS,
+    bucket_rows: int = BUCKET_ROWS,
+    order: Sequence[str] = (),
 ) -> Stage:
     """Writes ``df`` under ``path`` bucketed by ``keys`` and opens it.
 
     ``df`` is evaluated once, into plain rows that are removed again: the sketch of heavy keys reads their key columns,
     then keys of more than ``hot_rows`` rows (NULL among them) are written aside in as many files as they came in, and
     the rest in one file per bucket. There are ``buckets`` of them, and more where they would get over ``bucket_rows`` rows
-    each on average, so that what a task sorts and reads does not grow with the stage. A stage is written once; a new run
-    takes a new folder, and a run that was lost midway leaves one that ``read_stage`` refuses.
+    each on average, so that what a task sorts and reads does not grow with the stage. A bucket's rows lie by ``order``,
+    which packs them and what is shuffled of them later. A step's shuffle files go when it ends. A stage is written once; a
+    new run takes a new folder, and a run that was lost midway leaves one that ``read_stage`` refuses.
     """
+    with _releasing(df.sparkSession):
+        _write_stage(df, path, keys, buckets, hot_rows, bucket_rows, order)
+    return read_stage(df.sparkSession, path)
+
+
+def _write_stage(
+    df: DataFrame, path: str, keys: Sequence[str], buckets: int, hot_rows: int, bucket_rows: int, order: Sequence[str]
+) -> None:
     spark = df.sparkSession
     df.write.option("compression", "zstd").parquet(f"{path}/rows")
     rows = spark.read.schema(df.schema).parquet(f"{path}/rows")
@@ -70,12 +105,11 @@ def write_stage(
     skew.heavy_keys(rows, *keys, hot_rows=hot_rows, nulls=True).write.parquet(f"{path}/hot_keys")
     usual, hot = skew.parted(rows, spark.read.schema("_hot_key string").parquet(f"{path}/hot_keys"), *keys)
     hot.write.option("compression", "zstd").parquet(f"{path}/hot")
-    _opened(spark, f"{path}/usual", df.schema, keys, buckets)
+    _opened(spark, f"{path}/usual", df.schema, keys, buckets, order)
     usual.repartition(buckets, *keys).write.insertInto("stage_" + hashlib.md5(f"{path}/usual".encode()).hexdigest())
-    layout = json.dumps({"keys": list(keys), "buckets": buckets, "schema": df.schema.jsonValue()})
+    layout = json.dumps({"keys": list(keys), "buckets": buckets, "order": list(order), "schema": df.schema.jsonValue()})
     spark.range(1).select(F.lit(layout).alias("value")).coalesce(1).write.text(f"{path}/layout")
     _deleted(spark, f"{path}/rows")
-    return read_stage(spark, path)
 
 
 def read_stage(spark: SparkSession, path: str) -> Stage:
@@ -84,7 +118,7 @@ def read_stage(spark: SparkSession, path: str) -> Stage:
     shape = T.StructType.fromJson(layout["schema"])
     return Stage(
         tuple(layout["keys"]),
-        _opened(spark, f"{path}/usual", shape, layout["keys"], layout["buckets"]),
+        _opened(spark, f"{path}/usual", shape, layout["keys"], layout["buckets"], layout.get("order", ())),
         spark.read.schema(shape).parquet(f"{path}/hot"),
         spark.read.schema("_hot_key string").parquet(f"{path}/hot_keys"),
     )

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,6 +106,44 @@ def test_buckets_grow_with_the_rows(spark, tmp_path, rows, left):
     assert listed(stages.left_join(left, stage, ON)) == listed(plain(left, rows))
 
 
+def shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {path for folder in manager.localDirsString() for path in Path(folder).rglob("shuffle_*.data")}
+
+
+def test_a_written_stage_leaves_no_shuffle_files(spark, tmp_path, rows):
+    """Those of the rows' own plan and of the buckets go when they are written, not when the driver collects garbage."""
+    before = shuffle_files(spark)
+    stage = stages.write_stage(rows.repartition(5, "v"), f"file://{tmp_path}/s", ("k", "m"), 4, 500)
+    until = time.time() + 30
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert listed(stage.rows()) == listed(rows)
+
+
+def test_only_the_writing_of_a_stage_gives_up_shuffle_files(spark, tmp_path, rows):
+    before = spark.conf.get(stages._RELEASES, None)
+    stages.write_stage(rows, f"file://{tmp_path}/s", ("k", "m"), 4)
+    assert spark.conf.get(stages._RELEASES, None) == before
+    with pytest.raises(Exception):
+        stages.write_stage(rows, f"file://{tmp_path}/s", ("k", "m"), 4)
+    assert spark.conf.get(stages._RELEASES, None) == before
+
+
+def test_rows_of_a_bucket_lie_in_order(spark, tmp_path, rows, left):
+    shuffled = rows.withColumn("w", F.pmod(F.xxhash64("v"), F.lit(7)))
+    path = f"file://{tmp_path}/s"
+    stage = stages.write_stage(shuffled, path, ("k", "m"), 4, 500, order=("w", "v"))
+    files = list((tmp_path / "s" / "usual").glob("*.parquet"))
+    assert len(files) == 4
+    for file in files:
+        found = [(r.w, r.v) for r in spark.read.parquet(f"file://{file}").coalesce(1).collect()]
+        assert found == sorted(found)
+    assert listed(stage.rows()) == listed(shuffled) == listed(stages.read_stage(spark, path).rows())
+    assert listed(stages.left_join(left, stage, ON)) == listed(plain(left, shuffled))
+
+
 def test_stage_opens_in_another_session_and_only_when_finished(spark, tmp_path, rows):
     path = f"file://{tmp_path}/s"
     stages.write_stage(rows, path, ("k", "m"), 5, 500)
